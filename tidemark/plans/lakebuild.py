@@ -17,6 +17,8 @@ from tidemark.session import ensure_conf, scratch_dir
 from tidemark.sources import files
 from tidemark.sources.tables import Tables
 
+# Fixed build time of the registered lake, so gold rows are reproducible.
+BUILT_AT = "2026-08-31 06:00:00"
 _LOCK = threading.Lock()
 _BUILT: dict = {}
 
@@ -37,6 +39,6 @@ def build_lake(spark: SparkSession, sf_dir: str, grain: str = "month") -> tuple[
             return _BUILT[key]
         lake = medallion.Lake(scratch_dir(spark, "lake"), grain=grain, gold_grain=grain)
         parts = write_bronze(spark, sf_dir, lake.bronze, grain)
-        result = medallion.backfill(spark, lake, parts[0], parts[-1])
+        result = medallion.backfill(spark, lake, parts[0], parts[-1], built_at=BUILT_AT)
         _BUILT[key] = (lake, parts, result)
         return _BUILT[key]
