@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 # reduced modulo one million, so it is reproducible in any SQL engine with md5.
 U01_HEX_DIGITS = 15
 U01_BUCKETS = 1000000
-NULL_MARKER = "\u0000"
+NULL_MARKER = "\\N"
 
 
 def u01(n, salt: str) -> Column:

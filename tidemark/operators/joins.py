@@ -78,3 +78,31 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, salt_buckets: int, ho
     f = fact.withColumn("_salt", salt)
     d = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
     return f.join(d, [key, "_salt"], how).drop("_salt")
+
+
+def hot_keys(fact: DataFrame, key: str, min_share: float = 0.01, max_keys: int = 1000) -> list:
+    """Keys holding at least ``min_share`` of the rows (at most 1/min_share of them).
+
+    One aggregate (partial counts per task, then per key) - only the few hot keys
+    come back to the driver."""
+    counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    threshold = max(1, int(total * min_share))
+    hot = counts.filter(F.col("_n") >= threshold).orderBy(F.col("_n").desc()).limit(max_keys)
+    return [r[0] for r in hot.select(key).collect()]
+
+
+def skew_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", min_share: float = 0.01) -> DataFrame:
+    """Split hot keys off a fact-to-dimension join.
+
+    Rows of hot keys (one key may hold a third of the fact) join a broadcast of just
+    the hot dimension rows, so they never cross the network or pile into one task;
+    the rest takes the ordinary shuffle join (where AQE's skew handling still
+    applies). The union is exactly the plain join."""
+    hot = hot_keys(fact, key, min_share)
+    if not hot:
+        return fact.join(dim, key, how)
+    is_hot = F.col(key).isin(hot)
+    hot_part = fact.filter(is_hot).join(F.broadcast(dim.filter(is_hot)), key, how)
+    cold_part = fact.filter(~is_hot | F.col(key).isNull()).join(dim.filter(~is_hot), key, how)
+    return hot_part.unionByName(cold_part)
