@@ -21,9 +21,10 @@ def parse_or_dead_letter(lines: DataFrame, schema: dict[str, str], line_col: str
     Every line gets exactly one outcome: malformed JSON, a missing required field,
     or a field that does not cast to its type; otherwise it is good. The reason is
     attached to the dead letter together with the raw line (cut at 900 characters)."""
-    ddl = ", ".join("%s string" % f for f in schema)
-    parsed = lines.withColumn("_p", F.from_json(F.col(line_col), ddl, {"mode": "PERMISSIVE"}))
-    valid_json = F.col("_p").isNotNull() & F.col(line_col).rlike(r"^\s*\{")
+    ddl = ", ".join("%s string" % f for f in schema) + ", _corrupt_record string"
+    parsed = lines.withColumn("_p", F.from_json(F.col(line_col), ddl, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
+    valid_json = F.col("_p").isNotNull() & F.col("_p._corrupt_record").isNull()
     reason = F.when(~F.coalesce(valid_json, F.lit(False)), F.lit("malformed_json"))
     for f, typ in schema.items():
         reason = reason.when(F.col("_p." + f).isNull(), F.lit("missing_field:" + f))
