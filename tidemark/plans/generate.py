@@ -88,36 +88,37 @@ def _cents_text(c: Column) -> Column:
 def feed_events(universe: DataFrame, grain: str = "month") -> DataFrame:
     """GN2: every event that lands in bronze (typed, before JSON encoding).
 
-    base rows carry the invalid share; replays duplicate base rows; corrections of
-    valid orders arrive one day after the original with a later ``updated_at``."""
+    One pass over the universe: each order emits an array of 1-3 events - the base
+    row (carrying the invalid share), an exact replay, a next-day correction of a
+    valid order - and ``explode`` flattens it (a Generate, no union re-scan)."""
     bad, junk = F.col("bad"), F.col("junk")
-    base = universe.select(
-        "n", "order_id", "customer_id", "country", "ingest_date", "junk", F.lit(0).alias("kind"),
-        F.when((bad >= NEGATIVE_BELOW) & (bad < ZERO_ITEMS_BELOW), F.lit(0))
-         .otherwise(F.col("items")).alias("items"),
-        F.when(bad < NEGATIVE_BELOW, -F.col("amount_cents"))
-         .when((bad >= MISSING_TS_BELOW) & (bad < INVALID_BELOW), F.lit(None).cast("bigint"))
-         .otherwise(F.col("amount_cents")).alias("amount_cents"),
-        F.when((bad >= ZERO_ITEMS_BELOW) & (bad < MISSING_TS_BELOW), F.lit(None).cast("timestamp_ntz"))
-         .otherwise(F.col("order_ts")).alias("order_ts"),
-        F.when((bad >= ZERO_ITEMS_BELOW) & (bad < MISSING_TS_BELOW), F.lit(None).cast("timestamp_ntz"))
-         .otherwise(F.col("order_ts")).alias("updated_at"),
-        "dup")
-    replays = base.filter(F.col("dup") < REPLAY_RATE).withColumn("kind", F.lit(1))
+    missing_ts = (bad >= ZERO_ITEMS_BELOW) & (bad < MISSING_TS_BELOW)
+    base_items = F.when((bad >= NEGATIVE_BELOW) & (bad < ZERO_ITEMS_BELOW), F.lit(0)).otherwise(F.col("items"))
+    base_cents = (F.when(bad < NEGATIVE_BELOW, -F.col("amount_cents"))
+                  .when((bad >= MISSING_TS_BELOW) & (bad < INVALID_BELOW), F.lit(None).cast("bigint"))
+                  .otherwise(F.col("amount_cents")))
+    base_ts = F.when(missing_ts, F.lit(None).cast("timestamp_ntz")).otherwise(F.col("order_ts"))
+
+    def event(kind: int, ingest, j, items, cents, order_ts, updated_at):
+        return F.struct(F.lit(kind).alias("kind"), ingest.alias("ingest_date"), j.alias("junk"),
+                        items.cast("int").alias("items"), cents.cast("bigint").alias("amount_cents"),
+                        order_ts.cast("timestamp_ntz").alias("order_ts"),
+                        updated_at.cast("timestamp_ntz").alias("updated_at"))
+
     k = F.pmod(F.conv(F.substring(F.md5(F.concat(F.col("n").cast("string"), F.lit(":cadj"))), 1, 15),
                       16, 10).cast("bigint"), F.lit(1000000))
     corr_day = F.date_add(F.col("arrival_date"), 1)
-    corrections = (universe
-                   .filter((F.col("corr") < CORRECTION_RATE) & (bad >= INVALID_BELOW) & (junk >= BAD_ITEMS_BELOW))
-                   .select("n", "order_id", "customer_id", "country",
-                           _grain_start(corr_day, grain).alias("ingest_date"),
-                           F.lit(1.0).alias("junk"), F.lit(2).alias("kind"), "items",
-                           corrected_cents(F.col("amount_cents"), k).alias("amount_cents"),
-                           "order_ts",
-                           F.timestamp_add("SECOND", F.floor(u01("n", "csec") * 86400).cast("int"),
-                                           corr_day.cast("timestamp_ntz")).alias("updated_at"),
-                           F.lit(1.0).alias("dup")))
-    return base.unionByName(replays).unionByName(corrections).drop("dup")
+    base = event(0, F.col("ingest_date"), junk, base_items, base_cents, base_ts, base_ts)
+    replay = F.when(F.col("dup") < REPLAY_RATE, event(1, F.col("ingest_date"), junk, base_items, base_cents,
+                                                      base_ts, base_ts))
+    correction = F.when((F.col("corr") < CORRECTION_RATE) & (bad >= INVALID_BELOW) & (junk >= BAD_ITEMS_BELOW),
+                        event(2, _grain_start(corr_day, grain), F.lit(1.0), F.col("items"),
+                              corrected_cents(F.col("amount_cents"), k), F.col("order_ts"),
+                              F.timestamp_add("SECOND", F.floor(u01("n", "csec") * 86400).cast("int"),
+                                              corr_day.cast("timestamp_ntz"))))
+    events = F.filter(F.array(base, replay, correction), lambda e: e.isNotNull())
+    return (universe.select("n", "order_id", "customer_id", "country", F.explode(events).alias("e"))
+            .select("n", "order_id", "customer_id", "country", "e.*"))
 
 
 def bronze_lines(events: DataFrame) -> DataFrame:
