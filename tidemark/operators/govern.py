@@ -33,7 +33,8 @@ def apply_policy_table(df: DataFrame, policy: DataFrame, principal: str, col: st
     """G1, data-driven: the policy table lists (principal, allowed value of ``col``);
     a semi-join keeps the allowed rows (the policy side is small and broadcastable)."""
     allowed = policy.filter(F.col("principal") == principal).select(F.col("value").alias(col)).distinct()
-    return df.join(F.broadcast(allowed), col, "left_semi")
+    from tidemark.operators.joins import maybe_broadcast
+    return df.join(maybe_broadcast(allowed), col, "left_semi")
 
 
 def governed_view(df: DataFrame, cols: list[str], predicate: str, policies, principal: str) -> DataFrame:

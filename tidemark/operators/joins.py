@@ -32,16 +32,17 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
     return fact.join(maybe_broadcast(dim, max_dim_rows), on=on, how=how)
 
 
-def semi_filter(df: DataFrame, keys: DataFrame, on, max_key_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Rows of ``df`` whose key appears in ``keys`` (``IN UNNEST(...)``)."""
-    return df.join(maybe_broadcast(keys.select(*([on] if isinstance(on, str) else on)).distinct(),
-                                   max_key_rows), on=on, how="left_semi")
+def semi_filter(df: DataFrame, keys: DataFrame, on) -> DataFrame:
+    """Rows of ``df`` whose key appears in ``keys`` (``IN UNNEST(...)``).
 
+    The key side is de-duplicated first (partial aggregation shrinks it before any
+    shuffle); AQE turns the join into a broadcast when that side is measured small."""
+    return df.join(keys.select(*([on] if isinstance(on, str) else on)).distinct(), on=on, how="left_semi")
 
-def anti_filter(df: DataFrame, keys: DataFrame, on, max_key_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+
+def anti_filter(df: DataFrame, keys: DataFrame, on) -> DataFrame:
     """Rows of ``df`` whose key is absent from ``keys`` (NOT EXISTS / NOT MATCHED)."""
-    return df.join(maybe_broadcast(keys.select(*([on] if isinstance(on, str) else on)).distinct(),
-                                   max_key_rows), on=on, how="left_anti")
+    return df.join(keys.select(*([on] if isinstance(on, str) else on)).distinct(), on=on, how="left_anti")
 
 
 def detect_changes(src: DataFrame, cur: DataFrame, key: str, hash_col: str):
@@ -92,17 +93,23 @@ def hot_keys(fact: DataFrame, key: str, min_share: float = 0.01, max_keys: int =
     return [r[0] for r in hot.select(key).collect()]
 
 
-def skew_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", min_share: float = 0.01) -> DataFrame:
+def skew_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", min_share: float = 0.01,
+              max_hot_dim_rows: int = DEFAULT_MAX_BROADCAST_ROWS, salt_buckets: int = 64) -> DataFrame:
     """Split hot keys off a fact-to-dimension join.
 
     Rows of hot keys (one key may hold a third of the fact) join a broadcast of just
-    the hot dimension rows, so they never cross the network or pile into one task;
-    the rest takes the ordinary shuffle join (where AQE's skew handling still
-    applies). The union is exactly the plain join."""
+    the hot dimension rows - proven small first - so they never cross the network or
+    pile into one task; if those rows are not provably small, the hot part takes a
+    salted join instead. The rest takes the ordinary shuffle join (where AQE's skew
+    handling still applies). The union is exactly the plain join."""
     hot = hot_keys(fact, key, min_share)
     if not hot:
         return fact.join(dim, key, how)
     is_hot = F.col(key).isin(hot)
-    hot_part = fact.filter(is_hot).join(F.broadcast(dim.filter(is_hot)), key, how)
+    hot_dim = dim.filter(is_hot)
+    if has_at_most(hot_dim, max_hot_dim_rows):
+        hot_part = fact.filter(is_hot).join(F.broadcast(hot_dim), key, how)
+    else:
+        hot_part = salted_join(fact.filter(is_hot), hot_dim, key, salt_buckets, how)
     cold_part = fact.filter(~is_hot | F.col(key).isNull()).join(dim.filter(~is_hot), key, how)
     return hot_part.unionByName(cold_part)
