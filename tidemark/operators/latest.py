@@ -7,8 +7,8 @@ reaches the final task as one row per map task instead of as every copy. The
 window form (``row_number() = 1``) is kept for callers that want it; Spark plans it
 with a partial ``WindowGroupLimit`` before the exchange.
 
-Ties on the order columns are broken by an md5 of the payload (D1), so the
-result never depends on task order.
+Ties on the order columns are broken by a 64-bit hash of the payload and then by
+the payload itself (D1), so the result never depends on task order.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.hashing import row_hash
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str], method: str = "aggregate",
@@ -26,11 +25,12 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str], method: str
     if method == "window":
         w = Window.partitionBy(*keys).orderBy(
             *[F.col(c).desc_nulls_last() for c in order],
-            *([row_hash(*payload).desc()] if tie_break else []))
+            *([F.xxhash64(*[F.col(c) for c in payload]).desc()] if tie_break else []),
+            *[F.col(c).desc_nulls_last() for c in payload])
         return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
     top_fields = [F.col(c).alias("_o%d" % i) for i, c in enumerate(order)]
     if tie_break:
-        top_fields.append(row_hash(*payload).alias("_tb"))
+        top_fields.append(F.xxhash64(*[F.col(c) for c in payload]).alias("_tb"))
     top_fields += [F.col(c) for c in payload]
     return (df.groupBy(*keys)
             .agg(F.max(F.struct(*top_fields)).alias("_top"))

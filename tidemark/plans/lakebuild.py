@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 from tidemark.plans import generate, medallion
 from tidemark.session import ensure_conf, scratch_dir
 from tidemark.sources import files
-from tidemark.sources.tables import Tables
+from tidemark.sources.tables import Tables, ensure_parallelism
 
 # Fixed build time of the registered lake, so gold rows are reproducible.
 BUILT_AT = "2026-08-31 06:00:00"
@@ -25,7 +25,7 @@ _BUILT: dict = {}
 
 def write_bronze(spark: SparkSession, sf_dir: str, root: str, grain: str = "month") -> list[str]:
     t = Tables(spark, sf_dir)
-    lines = generate.bronze_feed(t.orders, t.customer, t.nation, grain)
+    lines = generate.bronze_feed(ensure_parallelism(t.orders), t.customer, t.nation, grain)
     files.export_json(lines, root)
     return files.list_partition_values(spark, root, "ingest_date")
 
