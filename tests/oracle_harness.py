@@ -60,6 +60,11 @@ def digest(cols, rows, approx=False):
     return h.hexdigest()[:16], c
 
 
+TYPE_MAP = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date",
+            "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean", "DECIMAL": "decimal", "FLOAT": "float",
+            "SMALLINT": "smallint", "TINYINT": "tinyint"}
+
+
 def duck_conn(sf_dir):
     import duckdb
     con = duckdb.connect()
@@ -86,6 +91,12 @@ def compare(spark, con, key, fn, sql):
         out["status"] = "COLS"
         out["detail"] = (sorted(s_cols), sorted(d_cols))
         return out
+    duck_types = dict(zip(d_cols, [str(d[1]) for d in res.description]))
+    spark_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    tmis = {c: (spark_types[c], duck_types[c]) for c in s_cols
+            if TYPE_MAP.get(duck_types[c].split("(")[0], duck_types[c]) != spark_types[c].split("(")[0]}
+    if tmis:
+        out["types"] = tmis
     hs, cs = digest(s_cols, s_rows)
     hd, cd = digest(d_cols, d_rows)
     if hs == hd and len(s_rows) == len(d_rows):

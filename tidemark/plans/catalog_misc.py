@@ -184,16 +184,19 @@ def _rollup_written(spark, sf_dir) -> str:
     return path
 
 
+ROLLUP_SCHEMA = "orders bigint, revenue double, avg_order_value double, max_order_value double, weekday bigint"
+
+
 def weekday_rollup(spark, sf_dir):
     """Derived revenue, rollup by weekday, written partitioned by weekday, read back."""
-    return files.external_parquet(spark, _rollup_written(spark, sf_dir)).select(
+    return files.external_parquet(spark, _rollup_written(spark, sf_dir), schema=ROLLUP_SCHEMA).select(
         "weekday", "orders", "revenue", "avg_order_value", "max_order_value")
 
 
 def hive_external_rollup(spark, sf_dir):
     """External table over the hive-partitioned rollup (partition column typed)."""
     path = _rollup_written(spark, sf_dir)
-    files.external_parquet(spark, path, "orders_by_weekday")
+    files.external_parquet(spark, path, "orders_by_weekday", schema=ROLLUP_SCHEMA)   # partition column typed
     return spark.sql("SELECT weekday, orders, ROUND(revenue, 0) AS revenue FROM orders_by_weekday")
 
 

@@ -218,7 +218,8 @@ FROM s WHERE table_schema = 'day4'""",
     "chargeback": JOBS_CTE + """
 SELECT list_filter(labels, lambda x: x.key = 'pipeline')[1].value AS pipeline, count(*) AS jobs,
        round(sum(total_bytes_billed) / 1048576.0, 1) AS mb_billed,
-       round(sum(total_bytes_billed) / 1099511627776.0 * 6.25, 6) AS usd_on_demand, sum(total_slot_ms) AS slot_ms
+       round(sum(total_bytes_billed) / 1099511627776.0 * 6.25, 6) AS usd_on_demand,
+       CAST(sum(total_slot_ms) AS BIGINT) AS slot_ms
 FROM done WHERE len(list_filter(labels, lambda x: x.key = 'pipeline')) > 0 GROUP BY 1""",
     "label_exists": JOBS_CTE + """
 SELECT job_id, len(list_filter(labels, lambda x: x.key = 'pipeline')) > 0 AS has_pipeline FROM jobs""",
