@@ -42,10 +42,14 @@ def test_broadcast_only_when_proven_small(spark):
     assert "BroadcastHashJoin" in plan_text(big.join(joins.maybe_broadcast(small, 10), "id"))
 
 
-def test_skew_join_equals_plain_join(spark):
+import pytest
+
+
+@pytest.mark.parametrize("max_rows", [1_000_000, 100, 0])   # broadcast all / split + broadcast hot / split + salt
+def test_skew_join_equals_plain_join(spark, max_rows):
     fact = spark.range(10000).select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("k"))
     dim = fact.distinct().withColumn("label", F.col("k") * 2)
-    a = joins.skew_join(fact, dim, "k", min_share=0.1)
+    a = joins.skew_join(fact, dim, "k", min_share=0.1, max_hot_dim_rows=max_rows, salt_buckets=4)
     b = fact.join(dim, "k")
     assert a.count() == b.count() == 10000
-    assert a.exceptAll(b).count() == 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -97,11 +97,16 @@ def skew_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", min
               max_hot_dim_rows: int = DEFAULT_MAX_BROADCAST_ROWS, salt_buckets: int = 64) -> DataFrame:
     """Split hot keys off a fact-to-dimension join.
 
-    Rows of hot keys (one key may hold a third of the fact) join a broadcast of just
+    A provably small dimension is simply broadcast. Otherwise rows of hot keys (one
+    key may hold a third of the fact) join a broadcast of just
     the hot dimension rows - proven small first - so they never cross the network or
     pile into one task; if those rows are not provably small, the hot part takes a
     salted join instead. The rest takes the ordinary shuffle join (where AQE's skew
     handling still applies). The union is exactly the plain join."""
+    if has_at_most(dim, max_hot_dim_rows):
+        # the whole dimension is provably small: a broadcast join never shuffles the
+        # fact, so no key can be hot
+        return fact.join(F.broadcast(dim), key, how)
     hot = hot_keys(fact, key, min_share)
     if not hot:
         return fact.join(dim, key, how)

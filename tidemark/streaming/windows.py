@@ -50,37 +50,38 @@ def sliding(df: DataFrame, ts: str, size: str, slide: str, keys: list[str]) -> D
 def session(df: DataFrame, ts: str, gap: str, keys: list[str], bucket_seconds: int = 86400) -> DataFrame:
     """T5: per-key sessions closed after ``gap`` of silence; end = last event + gap.
 
-    Skew-safe in two phases, so one key holding a third of all events is not
+    Skew-safe in two phases, so one key holding a third of all events is never
     sorted in a single task:
-      1. sessionize inside (key, time bucket) groups with lag + running sum - the
+      1. sessionize inside (key, time bucket) with lag + running sum - the
          event-heavy phase is spread over every bucket of a hot key;
-      2. only sessions that touch a bucket edge (at most two per key and bucket)
-         are stitched per key: a session starting before the previous one's end
-         joins it (the same rule ``session_window`` applies to events).
-    The result equals ``session_window`` over the whole key."""
+      2. one more window over the local sessions, partitioned by (key, slot) where
+         slot = the bucket for interior sessions (they are final: the lag rule never
+         merges two sessions of one bucket) and -1 for sessions touching a bucket
+         edge (at most two per key and bucket), which are stitched per key: a
+         session starting before the previous one's end joins it - the rule
+         ``session_window`` applies to events.
+    One lineage, two exchanges; the result equals ``session_window`` per key."""
     gap_s = _interval_seconds(gap)
+    gap_iv = F.expr("INTERVAL %d SECONDS" % gap_s)
     sec = F.unix_seconds(F.col(ts).cast("timestamp"))
-    b = F.floor(sec / bucket_seconds).alias("_bucket")
     wb = Window.partitionBy(*keys, "_bucket").orderBy(F.col(ts))
-    gap_iv = F.expr("INTERVAL %d SECONDS" % gap_s)
-    local = (df.select(*keys, F.col(ts).alias("_t"), b).withColumnRenamed("_t", ts)
+    local = (df.select(*keys, F.col(ts), F.floor(sec / bucket_seconds).alias("_bucket"))
              .withColumn("_new", F.when(F.col(ts) < F.lag(ts).over(wb) + gap_iv, 0).otherwise(1))
              .withColumn("_sid", F.sum("_new").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
              .groupBy(*keys, "_bucket", "_sid")
              .agg(F.min(ts).alias("s"), (F.max(ts) + gap_iv).alias("e"), F.count(F.lit(1)).alias("n")))
-    b_start = (F.col("_bucket") * bucket_seconds)
-    s_sec = F.unix_seconds(F.col("s").cast("timestamp"))
-    e_sec = F.unix_seconds(F.col("e").cast("timestamp"))
-    edge = (s_sec < b_start + gap_s) | (e_sec > b_start + bucket_seconds)
-    interior = local.filter(~edge).select(*keys, "s", "e", "n")
-    w = Window.partitionBy(*keys).orderBy("s", "e")
-    stitched = (local.filter(edge)
-                .withColumn("_new", F.when(F.col("s") < F.lag("e").over(w), 0).otherwise(1))
-                .withColumn("_grp", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-                .groupBy(*keys, "_grp").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.sum("n").alias("n")))
-    out = interior.unionByName(stitched.drop("_grp"))
-    return out.select(F.col("s").cast("timestamp_ntz").alias("window_start"),
-                      F.col("e").cast("timestamp_ntz").alias("window_end"), *keys, F.col("n").cast("bigint").alias("n"))
+    b_start = F.col("_bucket") * bucket_seconds
+    edge = ((F.unix_seconds(F.col("s").cast("timestamp")) < b_start + gap_s)
+            | (F.unix_seconds(F.col("e").cast("timestamp")) > b_start + bucket_seconds))
+    w2 = Window.partitionBy(*keys, "_slot").orderBy("s", "e")
+    merged = (local.withColumn("_slot", F.when(edge, F.lit(-1).cast("bigint")).otherwise(F.col("_bucket")))
+              .withColumn("_new", F.when(F.col("s") < F.lag("e").over(w2), 0).otherwise(1))
+              .withColumn("_grp", F.sum("_new").over(w2.rowsBetween(Window.unboundedPreceding, 0)))
+              .groupBy(*keys, "_slot", "_grp")
+              .agg(F.min("s").alias("s"), F.max("e").alias("e"), F.sum("n").alias("n")))
+    return merged.select(F.col("s").cast("timestamp_ntz").alias("window_start"),
+                         F.col("e").cast("timestamp_ntz").alias("window_end"), *keys,
+                         F.col("n").cast("bigint").alias("n"))
 
 
 def _interval_seconds(text: str) -> int:
