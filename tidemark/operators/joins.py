@@ -17,7 +17,10 @@ DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Bounded check: True when ``df`` has <= max_rows rows."""
+    """Bounded check: True when ``df`` has <= max_rows rows.
+
+    Costs at most one key-less pass over the candidate side (which the join reads
+    anyway); nothing but a count reaches the driver."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 

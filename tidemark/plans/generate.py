@@ -46,8 +46,7 @@ def order_universe(orders: DataFrame, customer: DataFrame, nation: DataFrame,
     nat = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country"))
     cust_nat = join_dimension(cust, nat, "c_nationkey", max_dim_rows=1_000_000).drop("c_nationkey")
     o = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    o = join_dimension(o, cust_nat.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey",
-                       how="left", max_dim_rows=10_000_000)
+    o = join_dimension(o, cust_nat.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey", how="left")
     n = F.col("o_orderkey")
     late = u01(n, "late") < LATE_RATE
     lag = F.when(late, 1 + F.floor(u01(n, "lag") * MAX_LAG_DAYS).cast("int")).otherwise(F.lit(0))
