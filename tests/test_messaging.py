@@ -54,3 +54,17 @@ def test_threshold_alerts(spark):
                                   (base + dt.timedelta(minutes=12), 10)], "t timestamp, b bigint")
     got = sorted((r["window_start"].minute, r["events"]) for r in usage.threshold_alerts(jobs, "t", "b", 100_000_000).collect())
     assert got == [(0, 1), (5, 1)]
+
+
+def test_order_per_key_keeps_each_key_contiguous_and_sorted(spark):
+    rows = [(k, t) for k in range(20) for t in range(50)]
+    df = spark.createDataFrame(rows, "k int, t int").repartition(7)
+    out = messaging.order_per_key(df, "k", "t").select("k", "t", F.spark_partition_id().alias("p")).collect()
+    by_part = {}
+    for r in out:
+        by_part.setdefault(r["p"], []).append((r["k"], r["t"]))
+    for seq in by_part.values():
+        assert seq == sorted(seq)
+    spans = sorted((min(s), max(s)) for s in by_part.values() if s)
+    for (a_lo, a_hi), (b_lo, b_hi) in zip(spans, spans[1:]):
+        assert a_hi <= b_lo          # partitions cover disjoint, ordered ranges of (key, seq)
