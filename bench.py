@@ -68,7 +68,9 @@ def main() -> None:
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": sf, "rows_in": res["silver"].rows_in,
-                      "silver_rows": res["silver"].silver_rows, "cpus": cpus}))
+                      "silver_rows": res["silver"].silver_rows,
+                      "backfill_rows_per_sec": round(res["silver"].rows_in / max(times["backfill"], 1e-9)),
+                      "cpus": cpus}))
     spark.stop()
 
 

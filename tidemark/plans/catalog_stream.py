@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.hashing import u01
 from tidemark.plans.oracle_feed import U
 from tidemark.session import ensure_conf, scratch_dir
+from tidemark.sources import files
 from tidemark.sources.tables import Tables
 from tidemark.streaming import messaging, panes, windows
 
@@ -34,10 +35,6 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             .parquet(sf_dir))
 
 
-def _ntz_bounds(df: DataFrame) -> DataFrame:
-    return df
-
-
 # ------------------------------------------------------------- batch windows
 def win_global(spark, sf_dir):
     """One global window per user."""
@@ -161,16 +158,36 @@ def dead_letter_lines(spark, sf_dir) -> DataFrame:
     return ev.select(line.alias("value"))
 
 
+def dead_letter_job(spark, lines: DataFrame) -> tuple[str, str]:
+    """Lines landed as a text file (S17), read back (S4), parsed with a dead-letter
+    side output (T11), both sides written as whole tables (S10)."""
+    root = scratch_dir(spark, "dead-letter")
+    lines.write.mode("overwrite").text(root + "/in")
+    good, bad = messaging.parse_or_dead_letter(files.read_lines(spark, root + "/in"), DL_SCHEMA)
+    files.replace_table(good, root + "/events")
+    files.replace_table(bad, root + "/events_dead_letter")
+    return root + "/events", root + "/events_dead_letter"
+
+
+def _dead_letter(spark, sf_dir):
+    ensure_conf(spark)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _DL_CACHE or not files.path_exists(spark, _DL_CACHE[key][0]):
+        _DL_CACHE[key] = dead_letter_job(spark, dead_letter_lines(spark, sf_dir))
+    return _DL_CACHE[key]
+
+
+_DL_CACHE: dict = {}
+
+
 def dead_letter_good(spark, sf_dir):
-    """Parsed, schema-checked rows."""
-    good, _ = messaging.parse_or_dead_letter(dead_letter_lines(spark, sf_dir), DL_SCHEMA)
-    return good
+    """Parsed, schema-checked rows (the good table of the batch job)."""
+    return spark.read.parquet(_dead_letter(spark, sf_dir)[0])
 
 
 def dead_letter_bad(spark, sf_dir):
     """Dead letters with raw line (cut at 900 chars) and reason."""
-    _, bad = messaging.parse_or_dead_letter(dead_letter_lines(spark, sf_dir), DL_SCHEMA)
-    return bad
+    return spark.read.parquet(_dead_letter(spark, sf_dir)[1])
 
 
 def ordered_per_key(spark, sf_dir):
