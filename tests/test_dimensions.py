@@ -97,3 +97,22 @@ def test_column_policy(dim):
     masked = govern.apply_column_policy(dim, {"name": "pii"}, {"owner": {"pii"}}, "analyst")
     assert "Alice" not in {r["name"] for r in masked.collect()}
     assert "Alice" in {r["name"] for r in govern.apply_column_policy(dim, {"name": "pii"}, {"owner": {"pii"}}, "owner").collect()}
+
+
+def test_publish_summary_and_empty_gate(spark, dim):
+    from tidemark.operators.gates import GateFailed
+    root = scratch_dir(spark, "summary")
+    path = scd2.publish_summary(dim, root + "/s")
+    got = {r["tier"]: r["customers"] for r in spark.read.parquet(path).collect()}
+    assert got == {"SILVER": 2, "PLATINUM": 1, "BRONZE": 1, "GOLD": 1}
+    with pytest.raises(GateFailed):
+        scd2.publish_summary(dim.filter(F.lit(False)), root + "/empty")
+
+
+def test_gate_helpers(spark, dim):
+    from tidemark.operators import gates
+    cur = dim.filter("is_current")
+    assert gates.gate_volume(cur, 1, 10).first()["passed"]
+    assert gates.gate_unique(cur, "customer_id").first()["passed"]
+    assert not gates.gate_unique(dim, "customer_id").first()["passed"]
+    assert not gates.gate_valid(cur, {"platinum": "tier = 'PLATINUM'"}).first()["passed"]

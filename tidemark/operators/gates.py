@@ -100,3 +100,45 @@ def gate_distribution(df: DataFrame, baseline: DataFrame, col: str, tolerance: f
     return j.select(col, F.coalesce(F.col("share"), F.lit(0.0)).alias("share"),
                     F.coalesce(F.col("baseline_share"), F.lit(0.0)).alias("baseline_share"),
                     (diff <= tolerance).alias("passed"))
+
+
+def gate_volume(df: DataFrame, lo: int, hi: int) -> DataFrame:
+    """Q1: row count within [lo, hi]."""
+    return run_gates(df, volume=(lo, hi)).filter(F.col("gate") == "volume")
+
+
+def gate_valid(df: DataFrame, preds: dict[str, str]) -> DataFrame:
+    """Q2: no row matches any invalid-row predicate."""
+    return run_gates(df, invalid=preds).filter(F.col("gate").startswith("no_"))
+
+
+def gate_unique(df: DataFrame, key: str) -> DataFrame:
+    """Q3: count(*) = count(DISTINCT key) and the key is never NULL."""
+    return run_gates(df, key=key).filter(F.col("gate") == "unique_" + key)
+
+
+def assert_fresh(df: DataFrame, built_col: str, now: str, sla_minutes: int = 60) -> int:
+    """Q9: raise when the newest ``built_col`` is older than the SLA (or there is none)."""
+    r = freshness_of(df, built_col, now, sla_minutes).first()
+    if r["stale"]:
+        raise GateFailed("stale: %s minutes" % r["minutes_stale"])
+    return int(r["minutes_stale"])
+
+
+def reconcile(truth: DataFrame, actual: DataFrame, keys: list[str], measures: list[str],
+              tol: float = 0.01) -> tuple[DataFrame, DataFrame]:
+    """Full outer join on ``keys``; per cell both sides, and a one-row
+    summary: cells, cells missing on one side, mismatches per measure beyond ``tol``
+    (the first measure compared exactly), largest absolute difference of each measure."""
+    t = truth.select(*keys, *[F.col(m).alias("truth_" + m) for m in measures])
+    a = actual.select(*keys, *[F.col(m).alias("actual_" + m) for m in measures])
+    cells = t.join(a, keys, "full")
+    first = measures[0]
+    aggs = [F.count(F.lit(1)).alias("cells_compared"),
+            F.count_if(F.col("truth_" + first).isNull() | F.col("actual_" + first).isNull())
+            .alias("cells_missing_on_one_side")]
+    for i, m in enumerate(measures):
+        diff = F.abs(F.col("actual_" + m) - F.col("truth_" + m))
+        aggs.append(F.count_if(diff != 0 if i == 0 else diff > tol).alias("%s_mismatches" % m))
+        aggs.append(F.coalesce(F.max(diff), F.lit(0)).alias("max_%s_diff" % m))
+    return cells, cells.agg(*aggs)

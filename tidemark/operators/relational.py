@@ -77,6 +77,26 @@ def top_words(docs: DataFrame, text: str, n: int = 10) -> DataFrame:
     """Whole texts -> lower-case words -> count per word -> top n.
 
     The split and count are per row / partial aggregates; only n rows reach the driver."""
-    words = docs.select(F.explode(F.split(F.lower(F.col(text)), r"\s+")).alias("word")).filter(F.col("word") != "")
+    from tidemark.functions.scalar import WHITESPACE
+    words = docs.select(F.explode(F.split(F.lower(F.col(text)), WHITESPACE)).alias("word")).filter(F.col("word") != "")
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return top_n(counts, [F.col("n").desc(), F.col("word").asc()], n)
+
+
+def by_day(df: DataFrame, ts: str, measures: dict[str, Column], name: str = "day") -> DataFrame:
+    """Group by calendar day of a timestamp."""
+    return df.groupBy(F.to_date(F.col(ts)).alias(name)).agg(*[m.alias(n) for n, m in measures.items()])
+
+
+def combine_per_key(df: DataFrame, key: str, value: str, name: str = "total") -> DataFrame:
+    """Associative per-key sum (partial sums combine map-side, exact decimals)."""
+    return df.groupBy(key).agg(money_sum(value).cast("double").alias(name))
+
+
+def join_rollup(fact: DataFrame, dim: DataFrame, on: str, group: list[str], measures: dict[str, Column],
+                pre_aggregate: dict[str, Column] | None = None) -> DataFrame:
+    """Fact -> dimension join, then group. With ``pre_aggregate`` (name -> partial
+    aggregate of the fact per join key) the fact is reduced per key before the join,
+    so the join sees one row per key and a hot key is one row."""
+    f = fact.groupBy(on).agg(*[m.alias(n) for n, m in pre_aggregate.items()]) if pre_aggregate else fact
+    return f.join(dim, on).groupBy(*group).agg(*[m.alias(n) for n, m in measures.items()])

@@ -121,3 +121,14 @@ def refresh_tier_counts(previous: DataFrame, old_dim: DataFrame, new_dim: DataFr
     n = (F.coalesce(F.col("n"), F.lit(0)) + F.coalesce(F.col("dn"), F.lit(0))).cast("bigint")
     first = F.when(F.col("dn").isNotNull(), F.col("dmin")).otherwise(F.col("first_seen"))
     return j.select("tier", n.alias("n"), first.alias("first_seen")).filter(F.col("n") > 0)
+
+
+def publish_summary(dim: DataFrame, target: str) -> str:
+    """Current rows counted per tier, written as a whole table (S10), then a
+    non-empty gate (Q4) refuses to publish an empty summary."""
+    from tidemark.operators.gates import GateFailed
+    summary = dim.filter(F.col("is_current")).groupBy("tier").agg(F.count(F.lit(1)).alias("customers"))
+    summary.write.mode("overwrite").parquet(target)
+    if summary.sparkSession.read.parquet(target).isEmpty():
+        raise GateFailed("summary table is empty - refusing to publish")
+    return target

@@ -136,3 +136,9 @@ def skew_report(df: DataFrame, key: str, alert_ratio: float = 3.0) -> DataFrame:
     ratio = F.col("max_rows") / F.col("avg_rows")
     return a.select("keys", "max_rows", F.round("avg_rows", 4).alias("avg_rows"),
                     F.round(ratio, 4).alias("max_over_avg"), (ratio > alert_ratio).alias("alert"))
+
+
+def by_label(jobs: DataFrame, key: str, measures: dict[str, Column]) -> DataFrame:
+    """A10: group by the value of one label (rows without the label are skipped)."""
+    j = jobs.filter(has_label("labels", key))
+    return j.groupBy(label_value("labels", key).alias(key)).agg(*[m.alias(n) for n, m in measures.items()])

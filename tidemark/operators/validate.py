@@ -109,3 +109,9 @@ def breaker_frame(scored: DataFrame, max_rate: float = DEFAULT_MAX_REJECT_RATE,
         "rows_in", "rejected",
         F.coalesce(rate, F.lit(0.0)).alias("reject_rate"),
         ((F.col("rows_in") == 0) | (F.coalesce(rate, F.lit(0.0)) > F.lit(max_rate))).alias("tripped"))
+
+
+def check_breaker(profile: DataFrame, max_rate: float = DEFAULT_MAX_REJECT_RATE,
+                  col: str = "reject_reason") -> BreakerDecision:
+    """Q5 on an outcome profile frame (A8 output: one small row per outcome)."""
+    return breaker({r[col]: r["n"] for r in profile.collect()}, max_rate)

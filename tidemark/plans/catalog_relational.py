@@ -214,10 +214,7 @@ def combine_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top 10 words over every document's whole text."""
-    d = _t(spark, sf_dir).documents
-    words = d.select(F.explode(F.split(F.lower(F.col("text")), WS)).alias("word")).filter(F.col("word") != "")
-    g = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return R.top_n(g, [F.col("n").desc(), F.col("word").asc()], 10)
+    return R.top_words(_t(spark, sf_dir).documents, "text", 10)
 
 
 # ------------------------------------------------------------ sort / set ops

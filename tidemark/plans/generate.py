@@ -170,3 +170,8 @@ def truth_daily(universe: DataFrame) -> DataFrame:
                    ).otherwise(F.col("amount_cents"))
     return (valid.groupBy("order_date", "country")
             .agg(F.count(F.lit(1)).alias("orders"), F.sum(cents).alias("revenue_cents")))
+
+
+# SURVEY names for the generator steps
+dirty_feed = feed_events
+truth = truth_daily

@@ -76,3 +76,10 @@ def dedup_stream(stream: DataFrame, msg_id: str, ts: str, horizon: str) -> DataF
     """At-least-once delivery made effectively-once: duplicates of a message id
     arriving within ``horizon`` of event time are dropped; state expires after it."""
     return stream.withWatermark(ts, horizon).dropDuplicatesWithinWatermark([msg_id])
+
+
+def land(spark, stream: DataFrame, name: str) -> str:
+    """Append a message stream to a Parquet landing table (bounded run); returns
+    the folder holding ``out`` (the table) and ``_checkpoint``."""
+    from tidemark.streaming.windows import run_available
+    return run_available(spark, stream, name)
