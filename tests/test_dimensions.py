@@ -116,3 +116,17 @@ def test_gate_helpers(spark, dim):
     assert gates.gate_unique(cur, "customer_id").first()["passed"]
     assert not gates.gate_unique(dim, "customer_id").first()["passed"]
     assert not gates.gate_valid(cur, {"platinum": "tier = 'PLATINUM'"}).first()["passed"]
+
+
+def test_scd2_publish_partitioned_and_idempotent(spark):
+    from tidemark.sources import files
+    path = scratch_dir(spark, "scd2-pub") + "/dim"
+    d1 = spark.createDataFrame(DAY1, SCHEMA)
+    d2 = spark.createDataFrame(DAY2, SCHEMA)
+    scd2.scd2_publish(path, d1, "customer_id", ATTRS, dt.date(2026, 1, 1))
+    once = scd2.scd2_publish(path, d2, "customer_id", ATTRS, dt.date(2026, 1, 2))
+    rows = sorted(map(tuple, once.collect()))
+    assert len(rows) == 7
+    assert files.list_partition_values(spark, path, "valid_to") == ["2026-01-02", "9999-12-31"]
+    twice = scd2.scd2_publish(path, d2, "customer_id", ATTRS, dt.date(2026, 1, 2))
+    assert sorted(map(tuple, twice.collect())) == rows

@@ -65,8 +65,12 @@ def scd2_init(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scd2_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M4: day-2 batch merged: changed versions expired, new versions inserted."""
-    return dim_day2(spark, sf_dir)
+    """M4: day-1 load then the day-2 batch merged into a dimension table partitioned by
+    ``valid_to`` (only the current partition and the day's closed versions are rewritten)."""
+    ensure_conf(spark)
+    path = scratch_dir(spark, "dim-scd2") + "/dim_customer"
+    scd2.scd2_publish(path, staging_day1(spark, sf_dir), KEY, ATTRS, DAY1)
+    return scd2.scd2_publish(path, staging_day2(spark, sf_dir), KEY, ATTRS, DAY2)
 
 
 def scd2_inserts(spark: SparkSession, sf_dir: str) -> DataFrame:
