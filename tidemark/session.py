@@ -33,6 +33,10 @@ def build_session(master: str = "local[8]", app: str = "tidemark", shuffle_parti
          # fewer, fuller tasks and files at every scale
          .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         # streaming state (dedup ids, windows, panes) on local disk per executor, not in
+         # the JVM heap; checkpointed to the shared folder like any state store
+         .config("spark.sql.streaming.stateStore.providerClass",
+                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.driver.memory", "8g"))
     for k, v in REQUIRED_CONF.items():
