@@ -157,7 +157,7 @@ def restore_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rollback_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overwrite by mistake, then roll back to version 1 (manifest only)."""
     vt, _, _ = _versioned(spark, sf_dir)
-    vt.commit(dim_day1(spark, sf_dir).limit(0), committed_at=T_V3)
+    vt.commit(dim_day1(spark, sf_dir).filter(F.lit(False)), committed_at=T_V3)   # a mistaken empty overwrite
     vt.rollback(1, committed_at=T_V3 + 1)
     return vt.read()
 

@@ -60,10 +60,12 @@ def billing_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def storage_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One 'table' per (return flag, supplier): the flag names the dataset."""
     li = Tables(spark, sf_dir).lineitem
-    g = li.groupBy("l_suppkey").agg(F.sum("l_quantity").cast("bigint").alias("q"), F.count(F.lit(1)).alias("c"),
-                                    F.sum("l_linenumber").cast("bigint").alias("ln"))
-    return g.select(F.when(F.pmod(F.col("l_suppkey"), F.lit(2)) == 0, "day4").otherwise("day5").alias("table_schema"),
+    g = li.groupBy("l_returnflag", "l_suppkey").agg(
+        F.sum("l_quantity").cast("bigint").alias("q"), F.count(F.lit(1)).alias("c"),
+        F.sum("l_linenumber").cast("bigint").alias("ln"))
+    return g.select(F.concat(F.lit("ds_"), F.col("l_returnflag")).alias("table_schema"),
                     F.concat(F.lit("t_"), F.col("l_suppkey").cast("string")).alias("table_name"),
                     (F.col("q") * 40960).alias("active_logical_bytes"), (F.col("c") * 5120).alias("long_term_logical_bytes"),
                     (F.col("ln") * 10240).alias("total_physical_bytes"),
@@ -87,7 +89,7 @@ def ratio_per_mb(spark, sf_dir):
 
 def storage_report(spark, sf_dir):
     """Q14: storage per table in one dataset."""
-    return usage.storage_report(storage_frame(spark, sf_dir), "day4")
+    return usage.storage_report(storage_frame(spark, sf_dir), "ds_N")
 
 
 def chargeback(spark, sf_dir):
@@ -206,15 +208,15 @@ SELECT substr(regexp_replace(query, %(ws)s, ' ', 'g'), 1, 45) AS q, round(total_
        round(total_slot_ms / nullif(total_bytes_billed / 1048576.0, 0)) AS slot_ms_per_mb
 FROM done WHERE total_bytes_billed > 100000000 ORDER BY slot_ms_per_mb DESC, q LIMIT 6""" % {"ws": _WS},
     "storage_report": """WITH s AS (
-  SELECT CASE WHEN l_suppkey % 2 = 0 THEN 'day4' ELSE 'day5' END AS table_schema, 't_' || CAST(l_suppkey AS VARCHAR) AS table_name,
+  SELECT 'ds_' || l_returnflag AS table_schema, 't_' || CAST(l_suppkey AS VARCHAR) AS table_name,
          CAST(sum(l_quantity) AS BIGINT) * 40960 AS active_logical_bytes, count(*) * 5120 AS long_term_logical_bytes,
          CAST(sum(l_linenumber) AS BIGINT) * 10240 AS total_physical_bytes,
          CAST(sum(l_quantity) AS BIGINT) * 40960 + count(*) * 5120 AS total_logical_bytes
-  FROM lineitem GROUP BY l_suppkey)
+  FROM lineitem GROUP BY l_returnflag, l_suppkey)
 SELECT table_name, round(active_logical_bytes / 1048576.0, 1) AS active_logical_mb,
        round(long_term_logical_bytes / 1048576.0, 1) AS longterm_mb, round(total_physical_bytes / 1048576.0, 1) AS physical_mb,
        round(total_logical_bytes / nullif(total_physical_bytes, 0), 2) AS compression_x
-FROM s WHERE table_schema = 'day4'""",
+FROM s WHERE table_schema = 'ds_N'""",
     "chargeback": JOBS_CTE + """
 SELECT list_filter(labels, lambda x: x.key = 'pipeline')[1].value AS pipeline, count(*) AS jobs,
        round(sum(total_bytes_billed) / 1048576.0, 1) AS mb_billed,
