@@ -30,15 +30,67 @@ def write_bronze(spark: SparkSession, sf_dir: str, root: str, grain: str = "mont
     return files.list_partition_values(spark, root, "ingest_date")
 
 
+def _code_fingerprint() -> str:
+    """Hash of the modules that decide what the lake contains: a lake built by other
+    code is never reused."""
+    import hashlib
+    import inspect
+    from tidemark.functions import hashing
+    from tidemark.operators import latest, validate
+    h = hashlib.sha1()
+    for mod in (generate, medallion, files, validate, latest, hashing):
+        h.update(inspect.getsource(mod).encode())
+    return h.hexdigest()[:12]
+
+
+def _pointer_path(spark: SparkSession, sf_dir: str, grain: str) -> str:
+    import hashlib
+    from tidemark.session import checkpoint_root
+    tag = hashlib.sha1(("%s|%s|%s" % (sf_dir, grain, _code_fingerprint())).encode()).hexdigest()[:16]
+    return "%s/tidemark/_lakes/%s.json" % (checkpoint_root(spark), tag)
+
+
+def _load_pointer(spark: SparkSession, path: str, grain: str):
+    import json
+    if not files.path_exists(spark, path):
+        return None
+    d = json.loads(files.read_small_text(spark, path))
+    lake = medallion.Lake(d["root"], grain=grain, gold_grain=grain)
+    if not files.path_exists(spark, lake.gold):
+        return None
+    r = d["silver"]
+    run = medallion.SilverRun(r["dates"], r["rows_in"], r["valid"], r["rejected"], r["reject_rate"],
+                              r["reject_reasons"], r["silver_rows"], r["duplicates_removed"], [], r["seconds"])
+    return lake, d["parts"], {"silver": run, "gold": d["gold"]}
+
+
+def _save_pointer(spark: SparkSession, path: str, lake, parts, result) -> None:
+    import json
+    r = result["silver"]
+    d = {"root": lake.root, "parts": parts, "gold": result["gold"],
+         "silver": {"dates": r.dates, "rows_in": r.rows_in, "valid": r.valid, "rejected": r.rejected,
+                    "reject_rate": r.reject_rate, "reject_reasons": r.reject_reasons, "silver_rows": r.silver_rows,
+                    "duplicates_removed": r.duplicates_removed, "seconds": r.seconds}}
+    files.write_small_text(spark, path, json.dumps(d))
+
+
 def build_lake(spark: SparkSession, sf_dir: str, grain: str = "month") -> tuple[medallion.Lake, list[str], dict]:
-    """Memoised per (application, sf_dir, grain): bronze written once, backfilled once."""
+    """Bronze written once and backfilled once per input folder and code version.
+
+    Reused within a session (memo) and across sessions through a small pointer file
+    in the shared checkpoint folder, written only after the build completed."""
     ensure_conf(spark)
     key = (spark.sparkContext.applicationId, sf_dir, grain)
     with _LOCK:
         if key in _BUILT and files.path_exists(spark, _BUILT[key][0].gold):
             return _BUILT[key]
-        lake = medallion.Lake(scratch_dir(spark, "lake"), grain=grain, gold_grain=grain)
-        parts = write_bronze(spark, sf_dir, lake.bronze, grain)
-        result = medallion.backfill(spark, lake, parts[0], parts[-1], built_at=BUILT_AT)
-        _BUILT[key] = (lake, parts, result)
-        return _BUILT[key]
+        pointer = _pointer_path(spark, sf_dir, grain)
+        found = _load_pointer(spark, pointer, grain)
+        if found is None:
+            lake = medallion.Lake(scratch_dir(spark, "lake"), grain=grain, gold_grain=grain)
+            parts = write_bronze(spark, sf_dir, lake.bronze, grain)
+            result = medallion.backfill(spark, lake, parts[0], parts[-1], built_at=BUILT_AT)
+            _save_pointer(spark, pointer, lake, parts, result)
+            found = (lake, parts, result)
+        _BUILT[key] = found
+        return found
