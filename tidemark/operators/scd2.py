@@ -104,22 +104,30 @@ def tier_counts(dim: DataFrame) -> DataFrame:
     return dim.groupBy("tier").agg(F.count(F.lit(1)).alias("n"), F.min("valid_from").alias("first_seen"))
 
 
-def refresh_tier_counts(previous: DataFrame, old_dim: DataFrame, new_dim: DataFrame) -> DataFrame:
-    """U4: maintain the aggregate from the delta instead of recomputing it.
-
-    Counts are additive over (added versions - removed versions). ``first_seen`` is
-    re-derived only for the tiers the delta touched (a semi-join on those few tiers);
-    untouched tiers keep their previous row."""
-    key_cols = ["sk", "valid_to", "is_current"]
-    added = new_dim.join(old_dim.select(*key_cols), key_cols, "left_anti")
-    removed = old_dim.join(new_dim.select(*key_cols), key_cols, "left_anti")
-    delta = (added.select("tier", F.lit(1).alias("d")).unionByName(removed.select("tier", F.lit(-1).alias("d"))))
-    dagg = delta.groupBy("tier").agg(F.sum("d").alias("dn"))
-    touched_min = (new_dim.join(dagg.select("tier"), "tier", "left_semi")
-                   .groupBy("tier").agg(F.min("valid_from").alias("dmin")))
-    j = previous.join(dagg, "tier", "full").join(touched_min, "tier", "left")
+def refresh_tier_counts(previous: DataFrame, added: DataFrame, removed: DataFrame | None = None,
+                        new_dim: DataFrame | None = None) -> DataFrame:
+    """U4: maintain the aggregate (versions per tier, first valid_from) from a delta
+    instead of recomputing it over the whole dimension.
+
+    An SCD2 merge only adds versions (closing one keeps its row and tier), so with
+    ``added`` alone the refresh is exact and additive: counts add up and
+    ``first_seen`` is the least of old and new. When versions were removed (a delete),
+    pass ``removed`` and ``new_dim``: ``first_seen`` is then re-derived for the
+    touched tiers only (a semi-join on those few tiers)."""
+    delta = added.select("tier", F.lit(1).alias("d"), "valid_from")
+    if removed is not None:
+        delta = delta.unionByName(removed.select("tier", F.lit(-1).alias("d"),
+                                                 F.lit(None).cast("date").alias("valid_from")))
+    dagg = delta.groupBy("tier").agg(F.sum("d").alias("dn"), F.min("valid_from").alias("dmin"))
+    j = previous.join(dagg, "tier", "full")
     n = (F.coalesce(F.col("n"), F.lit(0)) + F.coalesce(F.col("dn"), F.lit(0))).cast("bigint")
-    first = F.when(F.col("dn").isNotNull(), F.col("dmin")).otherwise(F.col("first_seen"))
+    if removed is None:
+        first = F.least(F.col("first_seen"), F.col("dmin"))
+        return j.select("tier", n.alias("n"), first.alias("first_seen")).filter(F.col("n") > 0)
+    touched_min = (new_dim.join(dagg.select("tier"), "tier", "left_semi")
+                   .groupBy("tier").agg(F.min("valid_from").alias("tmin")))
+    j = j.join(touched_min, "tier", "left")
+    first = F.when(F.col("dn").isNotNull(), F.col("tmin")).otherwise(F.col("first_seen"))
     return j.select("tier", n.alias("n"), first.alias("first_seen")).filter(F.col("n") > 0)
 
 

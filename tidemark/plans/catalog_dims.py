@@ -112,9 +112,9 @@ def tier_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mv_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """U4: materialized aggregate maintained from the day-2 delta."""
+    """U4: materialized aggregate maintained from the day-2 delta (the new versions)."""
     d1, d2 = dim_day1(spark, sf_dir), dim_day2(spark, sf_dir)
-    return scd2.refresh_tier_counts(scd2.tier_counts(d1), d1, d2)
+    return scd2.refresh_tier_counts(scd2.tier_counts(d1), d2.filter(F.col("valid_from") == F.lit(DAY2)))
 
 
 # ------------------------------------------------------------- versions
