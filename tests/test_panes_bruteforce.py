@@ -95,3 +95,17 @@ def test_panes_match_bruteforce(spark, source, accumulating):
         ws = int((r["window_start"] - BASE).total_seconds())
         got.add((r["key"], ws, r["kind"], r["timing"], r["pane_index"], r["value"]))
     assert got == simulate(fixture_batches(), accumulating)
+
+
+def test_last_accumulating_equals_sum_of_discarding(spark, source):
+    totals = {}
+    for acc in (True, False):
+        stream = spark.readStream.schema("key string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(source)
+        root = run_available(spark, paned_counts(stream, "key", "ts", SIZE, EARLY_N, LATENESS, acc), "panes-sum")
+        panes = spark.read.parquet(root + "/out").filter(F.col("kind") == "pane")
+        if acc:
+            last = panes.groupBy("key", "window_start").agg(F.max_by("value", "pane_index").alias("v"))
+        else:
+            last = panes.groupBy("key", "window_start").agg(F.sum("value").alias("v"))
+        totals[acc] = {(r["key"], r["window_start"]): r["v"] for r in last.collect()}
+    assert totals[True] == totals[False] and totals[True]
