@@ -142,3 +142,10 @@ def test_mv_refresh_equals_recompute(spark, dim):
     after = dim.filter("customer_id != 2")
     got = sorted(map(tuple, scd2.refresh_tier_counts(scd2.tier_counts(dim), after.limit(0), removed, after).collect()))
     assert got == sorted(map(tuple, scd2.tier_counts(after).collect()))
+
+
+def test_policy_table_semi_join(spark, dim):
+    pol = spark.createDataFrame([("analyst", "Batumi"), ("analyst", "Gori"), ("other", "Tbilisi")],
+                                "principal string, value string")
+    got = govern.apply_policy_table(dim, pol, "analyst", "city")
+    assert sorted(r["name"] for r in got.collect()) == ["Bob", "Bob", "Carol", "Eve"]

@@ -100,3 +100,14 @@ def join_rollup(fact: DataFrame, dim: DataFrame, on: str, group: list[str], meas
     so the join sees one row per key and a hot key is one row."""
     f = fact.groupBy(on).agg(*[m.alias(n) for n, m in pre_aggregate.items()]) if pre_aggregate else fact
     return f.join(dim, on).groupBy(*group).agg(*[m.alias(n) for n, m in measures.items()])
+
+
+def hll_sketches(df: DataFrame, group_col: str, col: str, lg_k: int = 12) -> DataFrame:
+    """A5 roll-up form: one mergeable HyperLogLog sketch per group (e.g. per day),
+    built with partial aggregation; keep it as a table and never rescan the rows."""
+    return df.groupBy(group_col).agg(F.hll_sketch_agg(F.col(col), lg_k).alias("sketch"))
+
+
+def hll_union_estimate(sketches: DataFrame, lg_k: int = 12) -> DataFrame:
+    """A5 roll-up form: distinct count over any set of groups = union of their sketches."""
+    return sketches.agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("approx"))
