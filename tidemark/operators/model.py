@@ -11,7 +11,6 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import u01
 

@@ -8,7 +8,6 @@ reads that sink, so the oracle is the batch SQL of the final state.
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
