@@ -20,14 +20,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a scan that arrives in fewer splits than the cluster has cores (a small
-    single-file table) before CPU-heavy per-row work. A no-op for any input large
-    enough to be split already, i.e. at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 class Tables:
     """Lazy accessor: ``t.orders`` reads ``orders`` once per accessor."""
 
