@@ -49,8 +49,8 @@ def billing_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     tp = F.round(F.col("l_tax") * 100).cast("bigint")
     credit = lambda t, pct: F.struct(F.lit(t).alias("type"),
                                      (-(cents * pct) / 10000000.0).cast("decimal(18,7)").alias("amount"))
-    service = (F.when(F.col("l_returnflag") == "A", "BigQuery").when(F.col("l_returnflag") == "N", "Compute Engine")
-               .otherwise("Cloud Storage"))
+    service = (F.when(F.col("l_returnflag") == "A", "warehouse").when(F.col("l_returnflag") == "N", "compute")
+               .otherwise("storage"))
     uid = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     return li.select("l_orderkey", "l_linenumber", F.struct(service.alias("description")).alias("service"),
                      (cents / 100000.0).alias("cost"),
@@ -177,8 +177,8 @@ done AS (SELECT * FROM jobs WHERE job_type = 'QUERY' AND state = 'DONE')
 
 BILLING_CTE = """WITH billing AS (
   SELECT l_orderkey, l_linenumber,
-         {'description': CASE l_returnflag WHEN 'A' THEN 'BigQuery' WHEN 'N' THEN 'Compute Engine'
-                         ELSE 'Cloud Storage' END} AS service,
+         {'description': CASE l_returnflag WHEN 'A' THEN 'warehouse' WHEN 'N' THEN 'compute'
+                         ELSE 'storage' END} AS service,
          CAST(round(l_extendedprice * 100) AS BIGINT) / 100000.0 AS cost,
          [{'type': 'PROMOTION',
            'amount': CAST(-(CAST(round(l_extendedprice * 100) AS BIGINT) * CAST(round(l_discount * 100) AS BIGINT)) / 10000000.0 AS DECIMAL(18,7))},
