@@ -53,3 +53,9 @@ def test_skew_join_equals_plain_join(spark, max_rows):
     b = fact.join(dim, "k")
     assert a.count() == b.count() == 10000
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_latest_with_map_payload_falls_back_to_window(spark):
+    df = spark.createDataFrame([(1, 1, {"a": 1}), (1, 2, {"b": 2}), (2, 5, {"c": 3})], "k int, v int, m map<string,int>")
+    got = sorted((r["k"], r["v"]) for r in latest_per_key(df, ["k"], ["v"]).collect())
+    assert got == [(1, 2), (2, 5)]
