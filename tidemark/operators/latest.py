@@ -22,14 +22,16 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str], method: str
                    tie_break: bool = True) -> DataFrame:
     """Keep, per ``keys``, the row with the greatest ``order`` (then payload hash)."""
     payload = [c for c in df.columns if c not in keys]
-    if any("map<" in df.schema[c].dataType.simpleString() for c in payload):
-        method = "window"      # maps are not orderable: they cannot sit inside max(struct)
+    # maps are neither orderable nor hashable: they cannot sit inside max(struct) and
+    # are left out of the tie-break (the window form carries them along)
+    plain = [c for c in payload if "map<" not in df.schema[c].dataType.simpleString()]
+    if len(plain) < len(payload):
+        method = "window"
     if method == "window":
         w = Window.partitionBy(*keys).orderBy(
             *[F.col(c).desc_nulls_last() for c in order],
-            *([F.xxhash64(*[F.col(c) for c in payload]).desc()] if tie_break else []),
-            *[F.col(c).desc_nulls_last() for c in payload
-              if "map<" not in df.schema[c].dataType.simpleString()])
+            *([F.xxhash64(*[F.col(c) for c in plain]).desc()] if tie_break and plain else []),
+            *[F.col(c).desc_nulls_last() for c in plain])
         return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
     top_fields = [F.col(c).alias("_o%d" % i) for i, c in enumerate(order)]
     if tie_break:
