@@ -68,3 +68,20 @@ def test_order_per_key_keeps_each_key_contiguous_and_sorted(spark):
     spans = sorted((min(s), max(s)) for s in by_part.values() if s)
     for (a_lo, a_hi), (b_lo, b_hi) in zip(spans, spans[1:]):
         assert a_hi <= b_lo          # partitions cover disjoint, ordered ranges of (key, seq)
+
+
+def test_threshold_alerts_stream(spark):
+    import time as _t
+    from tidemark.session import scratch_dir
+    from tidemark.streaming import windows
+    src = scratch_dir(spark, "alerts-src")
+    base = dt.datetime(2026, 1, 1, 12)
+    for rows in ([(base, 200_000_000), (base + dt.timedelta(minutes=1), 50_000_000)],
+                 [(base + dt.timedelta(minutes=7), 150_000_000)],
+                 [(base + dt.timedelta(minutes=30), 10)]):
+        spark.createDataFrame(rows, "t timestamp, b bigint").coalesce(1).write.mode("append").parquet(src)
+        _t.sleep(0.05)
+    stream = spark.readStream.schema("t timestamp, b bigint").option("maxFilesPerTrigger", 1).parquet(src)
+    root = windows.run_available(spark, windows.threshold_alerts_stream(stream, "t", "b", 100_000_000), "alerts")
+    got = sorted((r["window_start"].minute, r["events"]) for r in spark.read.parquet(root + "/out").collect())
+    assert got == [(0, 1), (5, 1)]

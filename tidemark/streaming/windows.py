@@ -122,3 +122,16 @@ def session_counts(stream: DataFrame, ts: str, gap: str, keys: list[str], latene
     s = with_event_time(stream, ts, "event_time", lateness)
     g = s.groupBy(F.session_window("event_time", gap).alias("window"), *keys).agg(F.count(F.lit(1)).alias("n"))
     return g.select(*_bounds(), *keys, "n")
+
+
+def threshold_alerts_stream(stream: DataFrame, ts: str, value: str, threshold: float, window: str = "5 minutes",
+                            lateness: str = "5 minutes") -> DataFrame:
+    """Q20 on a stream: events above ``threshold`` counted per window with a watermark;
+    a window is emitted (append mode) once complete, and only when its count > 0."""
+    # the watermark must follow every event (the clock), so the threshold is a
+    # conditional count inside the window aggregate, not a filter that Catalyst would
+    # push below the watermark
+    s = with_event_time(stream, ts, "event_time", lateness)
+    g = s.groupBy(F.window("event_time", window).alias("window")).agg(
+        F.count_if(F.col(value) > threshold).alias("events"))
+    return g.filter(F.col("events") > 0).select(*_bounds(), "events", F.lit(True).alias("alert"))
