@@ -121,3 +121,12 @@ def test_replay_storm_and_hot_partition(spark):
     again = medallion.bronze_to_silver(spark, lake, "2026-08-30", "2026-08-31", require_all=False, rows_per_file=5000)
     top2 = spark.read.parquet(lake.silver).filter("order_id = 'ORD-HOT'").first()
     assert again.silver_rows == 1001 and top2["amount"] == top["amount"]   # ties broken the same way every run
+
+
+def test_daily_gates_stop_before_gold(spark, bronze):
+    from tidemark.operators.gates import GateFailed
+    root, parts = bronze
+    lake = SharedBronze(scratch_dir(spark, "inc-gate"), root)
+    with pytest.raises(GateFailed):
+        medallion.run_day(spark, lake, parts[0], built_at=BUILT, volume=(10 ** 9, 10 ** 10))
+    assert files.path_exists(spark, lake.silver) and not files.path_exists(spark, lake.gold)
