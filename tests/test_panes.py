@@ -43,6 +43,8 @@ def test_accumulating_lateness_60(spark, src):
     assert [g for g in got if g[0] == "pane"] == sorted([
         ("pane", "EARLY", 0, 2), ("pane", "EARLY", 1, 4), ("pane", "ON_TIME", 2, 4),
         ("pane", "LATE", 3, 5), ("pane", "LATE", 4, 6)])
+    # pane info "last": the window closes after pane 4 with a total of 6
+    assert [g for g in got if g[0] == "closed"] == [("closed", "CLOSED", 4, 6)]
 
 
 def test_discarding_lateness_60(spark, src):

@@ -45,6 +45,8 @@ def simulate(batches, accumulating):
         if wm >= end:
             for _ in range(n_rows):
                 out.add((k, ws, "late", "DROPPED", None, 1))
+            if exists:
+                out.add((k, ws, "closed", "CLOSED", pane - 1, total))
             state.pop((k, ws), None)
             return
         for _ in range(n_rows):

@@ -10,7 +10,8 @@ window's on-time point (input watermark passes the window end) is
 when ``spark_watermark >= end``. On every call, in this order:
 
   (i)   state exists, not fired, on-time point reached -> emit ON_TIME;
-  (ii)  window expired -> incoming rows go to the late side output, state removed;
+  (ii)  window expired -> incoming rows go to the late side output, a ``closed``
+        row records the last pane index (pane info "last") and total, state removed;
   (iii) otherwise count rows one by one: after ON_TIME every row emits a LATE pane,
         before it every ``early_n``-th row emits an EARLY pane; save state and set
         the timeout to max(end if fired else end - lateness, watermark + 1).
@@ -58,11 +59,13 @@ def _pane_fn(size_ms: int, lateness_ms: int, early_n: int, accumulating: bool):
         if state.exists and not fired and wm >= end_ms - lateness_ms:
             emit("ON_TIME", total if accumulating else since)
             pane, since, fired = pane + 1, 0, True
-        # (ii) expired window: late side output
+        # (ii) expired window: late side output; a "closed" row names the last pane
+        #      (T10 is_last: pane_index of that row), carrying the final total
         if wm >= end_ms:
             for et in batch["event_time"]:
                 out.append((k, w_start, w_end, "late", "DROPPED", None, False, 1, et))
             if state.exists:
+                out.append((k, w_start, w_end, "closed", "CLOSED", pane - 1, False, int(total), None))
                 state.remove()
         else:
             # (iii) count one by one
