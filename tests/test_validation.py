@@ -80,3 +80,16 @@ def test_breaker(rejected, total, tripped):
 def test_breaker_frame(spark, scored):
     r = validate.breaker_frame(scored, 0.05).first()
     assert r["rows_in"] == len(CASES) and r["rejected"] == len(CASES) - 2 and r["tripped"]
+
+
+def test_broken_producer_file(spark):
+    """Negative fixture: a five-line broken producer file next to a normal partition:
+    two malformed lines, one bad items value, two good lines."""
+    root = scratch_dir(spark, "broken-producer") + "/bronze/ingest_date=2026-08-31"
+    spark.createDataFrame([(line(),)] * 3, "value string").coalesce(1).write.text(root)
+    broken = ['{"order_id":"ORD-9","amount":', 'not json at all', line(items="four"), line(order_id="ORD-7"),
+              line(order_id="ORD-8")]
+    spark.createDataFrame([(x,) for x in broken], "value string").coalesce(1).write.mode("append").text(root)
+    scored = validate.score(validate.type_order_fields(files.read_raw_json(spark, [root], RAW_FIELDS)))
+    prof = {r["reject_reason"]: r["n"] for r in validate.outcome_profile(scored).collect()}
+    assert prof == {None: 5, "malformed_json": 2, "bad_or_missing_items": 1}
