@@ -63,6 +63,7 @@ SELECT order_date, country, orders, revenue, avg_order_value FROM gold""")
     q["silver_to_gold"] = gold
     q["gold_merge"] = gold
     q["backfill_equals_daily"] = gold
+    q["daily_run"] = gold
     q["compact_files"] = with_feed("""
 SELECT ingest_date, count(*) AS rows FROM silver GROUP BY ingest_date""")
     q["assert_gold_counts"] = with_feed("""
