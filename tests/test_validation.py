@@ -36,6 +36,8 @@ CASES = [
     (line(items=0), "non_positive_items"),
     (line(items="4"), None),
     (line(items=4), None),
+    (line(items=" 4 "), None),                        # surrounding blanks are trimmed
+    (line(items="4.7"), "bad_or_missing_items"),      # a fraction is not an item count
     (line(amount=-5, items=0), "negative_amount"),   # two failures: the first rule wins
 ]
 
@@ -59,12 +61,12 @@ def test_every_row_one_reason(scored):
 def test_split_is_complementary(scored):
     valid, rejected = validate.split(scored)
     assert valid.count() + rejected.count() == scored.count()
-    assert valid.count() == 2
+    assert valid.count() == 3
 
 
 def test_profile(scored):
     prof = {r["reject_reason"]: r["n"] for r in validate.outcome_profile(scored).collect()}
-    assert prof[None] == 2 and prof["negative_amount"] == 2 and sum(prof.values()) == len(CASES)
+    assert prof[None] == 3 and prof["negative_amount"] == 2 and sum(prof.values()) == len(CASES)
 
 
 @pytest.mark.parametrize("rejected,total,tripped", [(49, 1000, False), (50, 1000, False), (51, 1000, True),
@@ -79,7 +81,7 @@ def test_breaker(rejected, total, tripped):
 
 def test_breaker_frame(spark, scored):
     r = validate.breaker_frame(scored, 0.05).first()
-    assert r["rows_in"] == len(CASES) and r["rejected"] == len(CASES) - 2 and r["tripped"]
+    assert r["rows_in"] == len(CASES) and r["rejected"] == len(CASES) - 3 and r["tripped"]
 
 
 def test_broken_producer_file(spark):
