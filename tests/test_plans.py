@@ -59,3 +59,16 @@ def test_latest_with_map_payload_falls_back_to_window(spark):
     df = spark.createDataFrame([(1, 1, {"a": 1}), (1, 2, {"b": 2}), (2, 5, {"c": 3})], "k int, v int, m map<string,int>")
     got = sorted((r["k"], r["v"]) for r in latest_per_key(df, ["k"], ["v"]).collect())
     assert got == [(1, 2), (2, 5)]
+
+
+def test_layout_scan_evidence(spark):
+    from tidemark.plans import catalog_misc
+    rows = {(r["layout"], r["predicate"]): r for r in
+            catalog_misc.scan_files_touched(spark, "/root/testdata/sf0.01").collect()}
+    month_part = rows[("part", "A_month")]
+    assert month_part["partition_filters"] and month_part["files_with_rows"] == 1 < month_part["total_files"]
+    owner_clust = rows[("clust", "B_owner")]
+    assert owner_clust["files_with_rows"] == 1 < owner_clust["total_files"] and owner_clust["pushed_filters"]
+    # the wrong layout for the question: an owner spread over many month partitions
+    assert rows[("part", "B_owner")]["files_with_rows"] > 1
+    assert len({r["rows"] for (lay, p), r in rows.items() if p == "B_owner"}) == 1   # same answer everywhere
