@@ -24,12 +24,12 @@ def main():
 
     lake, parts, _ = build_lake(spark, sf_dir)
     silver = spark.read.parquet(lake.silver)
-    staged = spark.read.parquet(lake.root + "/_staging/orders/*")
+    valid, _ = validate.split(medallion.scored_bronze(spark, lake, parts))
     items = [
         ("C1 scoring of one bronze partition (read -> type -> score)",
          medallion.scored_bronze(spark, lake, [parts[-1]])),
         ("C1 silver: newest version per (ingest_date, order_id)",
-         medallion.silver_frame(staged.filter(F.col("_side") == "valid"))),
+         medallion.silver_frame(valid)),
         ("C2 gold rebuild for one affected month",
          medallion.gold_aggregate(medallion.rebuild_input(silver, [dt.date.fromisoformat(parts[-1])], "month"))),
         ("J1 join + group + top 20 (fact pre-aggregated per key)", catalog_relational.join_top_n(spark, sf_dir)),
