@@ -68,9 +68,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))   # core setting: on the context
+        root = sc._jsc.sc().getCheckpointDir().get()
+    elif sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
