@@ -117,17 +117,18 @@ def _arrival_files(spark, sf_dir) -> str:
     return src
 
 
-def _panes(spark, sf_dir, accumulating: bool) -> DataFrame:
+def _panes(spark, sf_dir, accumulating: bool, lateness_seconds: int = 3 * 86400) -> DataFrame:
     ensure_conf(spark)
     src = _arrival_files(spark, sf_dir)
     stream = spark.readStream.schema(EVENTS_DDL).option("maxFilesPerTrigger", 1).parquet(src)
-    q = panes.paned_counts(stream, "event_type", "ts", 86400, 50, 6 * 3600, accumulating)
+    q = panes.paned_counts(stream, "event_type", "ts", 86400, 50, lateness_seconds, accumulating)
     root = windows.run_available(spark, q, "panes")
     return spark.read.parquet(root + "/out")
 
 
 def stream_panes_acc(spark, sf_dir):
-    """Daily panes per event type, early every 50 events, accumulating."""
+    """Daily panes per event type, early every 50 events, accumulating,
+    3 days of allowed lateness (the two-day-late arrivals give LATE panes)."""
     return _panes(spark, sf_dir, True).filter(F.col("kind") == "pane")
 
 
@@ -137,8 +138,9 @@ def stream_panes_disc(spark, sf_dir):
 
 
 def stream_late_dropped(spark, sf_dir):
-    """Late events past the allowed lateness, kept aside instead of vanishing."""
-    return _panes(spark, sf_dir, True).filter(F.col("kind") == "late")
+    """With 6 hours of allowed lateness the two-day-late arrivals are past it:
+    they are routed to a side output and kept, not silently dropped."""
+    return _panes(spark, sf_dir, True, 6 * 3600).filter(F.col("kind") == "late")
 
 
 # --------------------------------------------------------------- messaging
