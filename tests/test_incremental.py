@@ -12,14 +12,8 @@ from tidemark.sources import files
 BUILT = "2026-08-31 06:00:00"
 
 
-class SharedBronze(medallion.Lake):
-    def __init__(self, root, bronze):
-        super().__init__(root)
-        self._bronze = bronze
-
-    @property
-    def bronze(self):
-        return self._bronze
+def SharedBronze(root, bronze):
+    return medallion.Lake(root, bronze_root=bronze)
 
 
 @pytest.fixture(scope="module")
