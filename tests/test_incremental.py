@@ -124,3 +124,24 @@ def test_daily_gates_stop_before_gold(spark, bronze):
     with pytest.raises(GateFailed):
         medallion.run_day(spark, lake, parts[0], built_at=BUILT, volume=(10 ** 9, 10 ** 10))
     assert files.path_exists(spark, lake.silver) and not files.path_exists(spark, lake.gold)
+
+
+def test_late_correction_reads_only_partitions_holding_its_date(spark):
+    import datetime as dt
+    own = scratch_dir(spark, "late-idx") + "/bronze"
+    rec = ('{"order_id":"%s","customer_id":"C","country":"GE","items":1,"amount":%s,'
+           '"order_ts":"%sT01:00:00Z","updated_at":"%sT%02d:00:00Z"}')
+    days = ["2026-08-0%d" % i for i in range(1, 7)]
+    for i, d in enumerate(days[:-1]):
+        spark.createDataFrame([(rec % ("ORD-%d" % i, "10.00", d, d, 1),)], "value string").write.text(
+            own + "/ingest_date=" + d)
+    # day 6 brings a correction of the order placed on day 1
+    spark.createDataFrame([(rec % ("ORD-0", "99.00", days[0], days[5], 2),)], "value string").write.text(
+        own + "/ingest_date=" + days[5])
+    lake = medallion.Lake(scratch_dir(spark, "late-idx-lake"), "day", "day", bronze_root=own)
+    medallion.backfill(spark, lake, days[0], days[4], built_at=BUILT)
+    medallion.bronze_to_silver(spark, lake, days[5], days[5])
+    assert medallion.partitions_holding(spark, lake, [dt.date(2026, 8, 1)]) == [days[0], days[5]]
+    medallion.silver_to_gold(spark, lake, days[5], days[5], built_at=BUILT)
+    g = spark.read.parquet(lake.gold).filter(F.col("order_date") == F.lit(days[0]).cast("date")).first()
+    assert g["orders"] == 1 and float(g["revenue"]) == 99.0
