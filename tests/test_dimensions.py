@@ -149,3 +149,13 @@ def test_policy_table_semi_join(spark, dim):
                                 "principal string, value string")
     got = govern.apply_policy_table(dim, pol, "analyst", "city")
     assert sorted(r["name"] for r in got.collect()) == ["Bob", "Bob", "Carol", "Eve"]
+
+
+def test_sql_functions_match_column_functions(spark, dim):
+    from tidemark.functions.hashing import u01
+    scd2.register_sql_functions(spark)
+    a = sorted(map(tuple, spark.sql("SELECT tier, tier_rank(tier) AS r FROM {d}", d=dim).collect()))
+    b = sorted(map(tuple, dim.select("tier", scd2.tier_rank("tier").alias("r")).collect()))
+    assert a == b
+    x = spark.range(50).select(F.expr("u01(id, 'cust')").alias("s"), u01(F.col("id"), "cust").alias("c"))
+    assert x.filter("s != c").count() == 0

@@ -174,3 +174,14 @@ def scd2_publish(dim_path: str, staging: DataFrame, key: str, attrs: list[str],
 
 _DIM_SCHEMA = ("sk string, customer_id bigint, name string, city string, tier string, row_hash string, "
                "valid_from date, is_current boolean, valid_to date")
+
+
+def register_sql_functions(spark) -> None:
+    """U1 as SQL: temporary SQL scalar functions (inlined by the optimizer, no Python),
+    for users who write Spark SQL rather than Column expressions."""
+    cases = " ".join("WHEN '%s' THEN %d" % (name, rank) for name, rank in TIER_RANKS)
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION tier_rank(t STRING) RETURNS INT "
+              "RETURN CASE t %s ELSE 1 END" % cases)
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION u01(n BIGINT, salt STRING) RETURNS DOUBLE RETURN "
+              "pmod(CAST(conv(substring(md5(concat(CAST(n AS STRING), ':', salt)), 1, 15), 16, 10) AS BIGINT), "
+              "1000000) / 1000000.0")

@@ -101,9 +101,10 @@ def fact_as_of_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tier_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scalar SQL function over current rows."""
-    d = dim_day2(spark, sf_dir).filter("is_current")
-    return d.select(KEY, "name", "tier", scd2.tier_rank("tier").alias("rank"))
+    """The scalar SQL function (``CREATE TEMPORARY FUNCTION``) over current rows."""
+    scd2.register_sql_functions(spark)
+    return spark.sql("SELECT customer_id, name, tier, tier_rank(tier) AS rank FROM {d} WHERE is_current",
+                     d=dim_day2(spark, sf_dir))
 
 
 def tier_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
