@@ -108,8 +108,11 @@ def tier_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tier_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Procedure with IN parameter min_rank = 3."""
-    return scd2.tier_summary(dim_day2(spark, sf_dir), 3)
+    """The 'procedure' as parametrised SQL with IN parameter min_rank = 3
+    (same result as ``scd2.tier_summary``, the Column form)."""
+    scd2.register_sql_functions(spark)
+    return spark.sql("SELECT tier, count(*) AS n FROM {d} WHERE is_current AND tier_rank(tier) >= :min_rank "
+                     "GROUP BY tier", args={"min_rank": 3}, d=dim_day2(spark, sf_dir))
 
 
 def mv_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
