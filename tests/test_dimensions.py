@@ -159,3 +159,16 @@ def test_sql_functions_match_column_functions(spark, dim):
     assert a == b
     x = spark.range(50).select(F.expr("u01(id, 'cust')").alias("s"), u01(F.col("id"), "cust").alias("c"))
     assert x.filter("s != c").count() == 0
+
+
+def test_snapshot_expiry_and_clone_is_writable(spark, dim):
+    root = scratch_dir(spark, "expiry")
+    vt = versions.VersionedTable(spark, root + "/t")
+    vt.commit(dim, committed_at=1_000)
+    snap = vt.snapshot(root + "/snap", expire_after_micros=500, committed_at=2_000)
+    assert snap.read(now_micros=2_400).count() == 7
+    with pytest.raises(versions.ReadOnlyTable):
+        snap.read(now_micros=2_600)
+    clone = vt.clone(root + "/clone", committed_at=3_000)
+    clone.commit(dim.filter("customer_id = 1"), mode="append", committed_at=4_000)
+    assert clone.read().count() == 8 and vt.read().count() == 7
