@@ -85,3 +85,15 @@ def test_threshold_alerts_stream(spark):
     root = windows.run_available(spark, windows.threshold_alerts_stream(stream, "t", "b", 100_000_000), "alerts")
     got = sorted((r["window_start"].minute, r["events"]) for r in spark.read.parquet(root + "/out").collect())
     assert got == [(0, 1), (5, 1)]
+
+
+def test_dead_letter_stream_matches_batch(spark):
+    from tidemark.session import scratch_dir
+    src = scratch_dir(spark, "dl-src")
+    for i in range(0, len(LINES), 4):          # three files, three micro-batches
+        spark.createDataFrame([(x,) for x in LINES[i:i + 4]], "value string").coalesce(1).write.mode("append").text(src)
+    good_path, bad_path = messaging.dead_letter_stream(spark, src, SCHEMA)
+    good = spark.read.parquet(good_path)
+    bad = spark.read.parquet(bad_path)
+    assert sorted(r["event_id"] for r in good.collect()) == [1, 2, 3, 4, 6, 7, 8]
+    assert sorted(r["error"] for r in bad.collect()) == ["malformed_json", "malformed_json", "missing_field:value"]

@@ -83,3 +83,22 @@ def land(spark, stream: DataFrame, name: str) -> str:
     the folder holding ``out`` (the table) and ``_checkpoint``."""
     from tidemark.streaming.windows import run_available
     return run_available(spark, stream, name)
+
+
+def dead_letter_stream(spark, source_dir: str, schema: dict[str, str], name: str = "dead-letter") -> tuple[str, str]:
+    """T11 streaming form: text lines arriving as files -> every micro-batch is parsed
+    once and both sides are appended (good rows, dead letters with reason) inside one
+    ``foreachBatch``; the batch id makes each side's output folder idempotent when a
+    micro-batch is retried after a failure. Returns (good_path, bad_path)."""
+    from tidemark.streaming.windows import run_available
+
+    def write_both(batch_df, batch_id):
+        good, bad = parse_or_dead_letter(batch_df, schema)
+        good.write.mode("overwrite").parquet("%s/good/batch=%d" % (root, batch_id))
+        bad.write.mode("overwrite").parquet("%s/bad/batch=%d" % (root, batch_id))
+
+    from tidemark.session import scratch_dir
+    root = scratch_dir(spark, name + "-out")
+    stream = spark.readStream.format("text").load(source_dir)
+    run_available(spark, stream, name, foreach_batch=write_both)
+    return root + "/good", root + "/bad"
