@@ -97,3 +97,18 @@ def test_dead_letter_stream_matches_batch(spark):
     bad = spark.read.parquet(bad_path)
     assert sorted(r["event_id"] for r in good.collect()) == [1, 2, 3, 4, 6, 7, 8]
     assert sorted(r["error"] for r in bad.collect()) == ["malformed_json", "malformed_json", "missing_field:value"]
+
+
+def test_retry_stream_dead_letters_after_five(spark):
+    import time as _t
+    from tidemark.session import scratch_dir
+    from tidemark.streaming import windows
+    src = scratch_dir(spark, "retry-src")
+    rounds = [[("poison", False), ("ok", True)]] + [[("poison", False)]] * 6   # redelivered until dead-lettered
+    for rows in rounds:
+        spark.createDataFrame(rows, "message_id string, ok boolean").coalesce(1).write.mode("append").parquet(src)
+        _t.sleep(0.05)
+    stream = spark.readStream.schema("message_id string, ok boolean").option("maxFilesPerTrigger", 1).parquet(src)
+    root = windows.run_available(spark, messaging.retry_stream(stream, "message_id", "ok", 5), "retry")
+    got = sorted((r["message_id"], r["attempts"], r["status"]) for r in spark.read.parquet(root + "/out").collect())
+    assert got == [("ok", 1, "acked"), ("poison", 5, "dead_letter")]

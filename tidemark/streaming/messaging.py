@@ -102,3 +102,37 @@ def dead_letter_stream(spark, source_dir: str, schema: dict[str, str], name: str
     stream = spark.readStream.format("text").load(source_dir)
     run_available(spark, stream, name, foreach_batch=write_both)
     return root + "/good", root + "/bad"
+
+
+RETRY_OUTPUT = "message_id string, attempts long, status string"
+RETRY_STATE = "attempts long, done boolean"
+
+
+def retry_stream(deliveries: DataFrame, msg_id: str, ok: str, max_attempts: int = 5) -> DataFrame:
+    """T14 on a stream: per message id, state counts failed deliveries; the first
+    successful delivery emits ``acked``, the ``max_attempts``-th failure emits
+    ``dead_letter``; afterwards the message is done and further deliveries are ignored.
+    State is one small row per message id (RocksDB-backed in built sessions)."""
+    from pyspark.sql.streaming.state import GroupState
+
+    def fn(key, pdfs, state: GroupState):
+        import pandas as pd
+        attempts, done = state.get if state.exists else (0, False)
+        out = []
+        for pdf in pdfs:
+            for good in pdf[ok].tolist():
+                if done:
+                    break
+                attempts += 1
+                if good:
+                    out.append((key[0], attempts, "acked"))
+                    done = True
+                elif attempts >= max_attempts:
+                    out.append((key[0], attempts, "dead_letter"))
+                    done = True
+        state.update((attempts, done))
+        if out:
+            yield pd.DataFrame(out, columns=["message_id", "attempts", "status"])
+
+    d = deliveries.select(F.col(msg_id).cast("string").alias("message_id"), F.col(ok).alias(ok))
+    return d.groupBy("message_id").applyInPandasWithState(fn, RETRY_OUTPUT, RETRY_STATE, "append", "NoTimeout")
