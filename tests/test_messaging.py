@@ -112,3 +112,19 @@ def test_retry_stream_dead_letters_after_five(spark):
     root = windows.run_available(spark, messaging.retry_stream(stream, "message_id", "ok", 5), "retry")
     got = sorted((r["message_id"], r["attempts"], r["status"]) for r in spark.read.parquet(root + "/out").collect())
     assert got == [("ok", 1, "acked"), ("poison", 5, "dead_letter")]
+
+
+def test_resequence_stream_releases_in_order(spark):
+    import time as _t
+    from tidemark.session import scratch_dir
+    from tidemark.streaming import windows
+    src = scratch_dir(spark, "reseq-src")
+    arrivals = [[("A", 2), ("B", 1)], [("A", 3), ("B", 3)], [("A", 1)], [("B", 2), ("A", 4)]]
+    for rows in arrivals:
+        spark.createDataFrame([(k, s, "%s%d" % (k, s)) for k, s in rows], "k string, s long, p string") \
+            .coalesce(1).write.mode("append").parquet(src)
+        _t.sleep(0.05)
+    stream = spark.readStream.schema("k string, s long, p string").option("maxFilesPerTrigger", 1).parquet(src)
+    root = windows.run_available(spark, messaging.resequence_stream(stream, "k", "s", "p"), "reseq")
+    out = spark.read.parquet(root + "/out").collect()
+    assert sorted((r["key"], r["seq"]) for r in out) == [("A", 1), ("A", 2), ("A", 3), ("A", 4), ("B", 1), ("B", 2), ("B", 3)]

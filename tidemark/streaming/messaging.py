@@ -136,3 +136,38 @@ def retry_stream(deliveries: DataFrame, msg_id: str, ok: str, max_attempts: int
 
     d = deliveries.select(F.col(msg_id).cast("string").alias("message_id"), F.col(ok).alias(ok))
     return d.groupBy("message_id").applyInPandasWithState(fn, RETRY_OUTPUT, RETRY_STATE, "append", "NoTimeout")
+
+
+RESEQ_STATE = "next_seq long, held_seq array<long>, held_payload array<string>"
+
+
+def resequence_stream(stream: DataFrame, key: str, seq: str, payload: str, first_seq: int = 1) -> DataFrame:
+    """T13 on a stream: per ordering key, release messages strictly in sequence order.
+    A message that arrives ahead of a gap is held in state until the missing ones
+    arrive; state holds only the out-of-order messages of one key."""
+    from pyspark.sql.streaming.state import GroupState
+
+    def fn(k, pdfs, state: GroupState):
+        import pandas as pd
+        if state.exists:
+            nxt, hs, hp = state.get
+            held = dict(zip(list(hs), list(hp)))
+        else:
+            nxt, held = first_seq, {}
+        for pdf in pdfs:
+            for s, p in zip(pdf["seq"].tolist(), pdf["payload"].tolist()):
+                if s >= nxt:
+                    held[int(s)] = p
+        out = []
+        while nxt in held:
+            out.append((k[0], nxt, held.pop(nxt)))
+            nxt += 1
+        keys = sorted(held)
+        state.update((nxt, keys, [held[s] for s in keys]))
+        if out:
+            yield pd.DataFrame(out, columns=["key", "seq", "payload"])
+
+    s = stream.select(F.col(key).cast("string").alias("key"), F.col(seq).cast("long").alias("seq"),
+                      F.col(payload).cast("string").alias("payload"))
+    return s.groupBy("key").applyInPandasWithState(fn, "key string, seq long, payload string", RESEQ_STATE,
+                                                   "append", "NoTimeout")
