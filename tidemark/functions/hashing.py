@@ -16,12 +16,17 @@ U01_BUCKETS = 1000000
 NULL_MARKER = "\\N"
 
 
-def u01(n, salt: str) -> Column:
-    """Uniform [0, 1) draw from (n, salt): md5 prefix -> bigint -> mod 1e6 / 1e6."""
+def u01_bucket(n, salt: str) -> Column:
+    """Integer draw in [0, 1e6) from (n, salt): md5 prefix -> bigint -> mod 1e6."""
     n = F.col(n) if isinstance(n, str) else n
     h = F.md5(F.concat(n.cast("string"), F.lit(":" + salt)))
     as_int = F.conv(F.substring(h, 1, U01_HEX_DIGITS), 16, 10).cast("bigint")
-    return F.pmod(as_int, F.lit(U01_BUCKETS)) / F.lit(float(U01_BUCKETS))
+    return F.pmod(as_int, F.lit(U01_BUCKETS))
+
+
+def u01(n, salt: str) -> Column:
+    """Uniform [0, 1) draw from (n, salt): ``u01_bucket / 1e6``."""
+    return u01_bucket(n, salt) / F.lit(float(U01_BUCKETS))
 
 
 def row_hash(*cols, sep: str = "|") -> Column:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.hashing import u01
+from tidemark.functions.hashing import u01, u01_bucket
 from tidemark.operators.joins import join_dimension
 
 # Defect rates of the synthetic feed (share of orders).
@@ -104,8 +104,7 @@ def feed_events(universe: DataFrame, grain: str = "month") -> DataFrame:
                         order_ts.cast("timestamp_ntz").alias("order_ts"),
                         updated_at.cast("timestamp_ntz").alias("updated_at"))
 
-    k = F.pmod(F.conv(F.substring(F.md5(F.concat(F.col("n").cast("string"), F.lit(":cadj"))), 1, 15),
-                      16, 10).cast("bigint"), F.lit(1000000))
+    k = u01_bucket("n", "cadj")
     corr_day = F.date_add(F.col("arrival_date"), 1)
     base = event(0, F.col("ingest_date"), junk, base_items, base_cents, base_ts, base_ts)
     replay = F.when(F.col("dup") < REPLAY_RATE, event(1, F.col("ingest_date"), junk, base_items, base_cents,
@@ -163,8 +162,7 @@ def truth_daily(universe: DataFrame) -> DataFrame:
 
     Valid orders only; a corrected order counts with its corrected amount."""
     n = F.col("n")
-    k = F.pmod(F.conv(F.substring(F.md5(F.concat(n.cast("string"), F.lit(":cadj"))), 1, 15),
-                      16, 10).cast("bigint"), F.lit(1000000))
+    k = u01_bucket(n, "cadj")
     valid = universe.filter((F.col("bad") >= INVALID_BELOW) & (F.col("junk") >= BAD_ITEMS_BELOW))
     cents = F.when(F.col("corr") < CORRECTION_RATE, corrected_cents(F.col("amount_cents"), k)
                    ).otherwise(F.col("amount_cents"))
