@@ -72,3 +72,12 @@ def test_layout_scan_evidence(spark):
     # the wrong layout for the question: an owner spread over many month partitions
     assert rows[("part", "B_owner")]["files_with_rows"] > 1
     assert len({r["rows"] for (lay, p), r in rows.items() if p == "B_owner"}) == 1   # same answer everywhere
+
+
+def test_metadata_count_uses_footers(spark):
+    from tidemark.sources.layout import metadata_count
+    n, pushed = metadata_count(spark, "/root/testdata/sf0.01/lineitem.parquet")
+    assert n == spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").count() and pushed
+    n2, pushed2 = metadata_count(spark, "/root/testdata/sf0.01/lineitem.parquet", "l_quantity > 40")
+    assert n2 < n and not pushed2
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")   # session settings restored
