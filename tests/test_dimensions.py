@@ -172,3 +172,13 @@ def test_snapshot_expiry_and_clone_is_writable(spark, dim):
     clone = vt.clone(root + "/clone", committed_at=3_000)
     clone.commit(dim.filter("customer_id = 1"), mode="append", committed_at=4_000)
     assert clone.read().count() == 8 and vt.read().count() == 7
+
+
+def test_merge_scoped_updates_inserts_and_deletes_only_in_scope(spark):
+    from tidemark.operators import merge
+    target = spark.createDataFrame([("2026-08-01", "GE", 1), ("2026-08-02", "GE", 2), ("2026-08-02", "DE", 3),
+                                    ("2026-08-03", "US", 4)], "d string, c string, n int")
+    source = spark.createDataFrame([("2026-08-02", "GE", 20), ("2026-08-02", "TR", 5)], "d string, c string, n int")
+    out = merge.merge_scoped(target, source, F.col("d") == "2026-08-02")
+    assert sorted(map(tuple, out.collect())) == [("2026-08-01", "GE", 1), ("2026-08-02", "GE", 20),
+                                                 ("2026-08-02", "TR", 5), ("2026-08-03", "US", 4)]
