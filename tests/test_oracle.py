@@ -4,10 +4,11 @@ smaller scale): same columns, same row count, same order-insensitive value hash.
 import pytest
 
 import __spark_entry__ as E
+from tidemark.plans.registry import spark_queries
 from oracle_harness import compare, duck_conn
 import oracle_harness
 
-KEYS = sorted(E.queries())
+KEYS = sorted(spark_queries())
 
 
 @pytest.fixture(scope="module")
