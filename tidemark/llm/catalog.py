@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import (common, decontam, langid, ngram_join, packing, pii, tokencount, topk, toxicity, warc)
+from tidemark.llm import (common, decontam, langid, ngram_join, packing, pii, suffix_dedup, tokencount, topk, toxicity, warc)
 from tidemark.llm.common import held_out, in_training_fold, scratch_path, table
 from tidemark.session import ensure_conf
 
@@ -27,6 +27,13 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400,
+                                      keep="none")
+    return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.train(docs.select("doc_id", "text"), labels.where(in_training_fold(F.col("doc_id"))))
@@ -78,7 +85,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         decontam.contaminated(h).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_ngram_join, op4_toxicity, op5_packing, op6_language_id, op7_top_k, op8_pii,
+QUERIES = {f.__name__: f for f in (op1_warc, op2_ngram_join, op3_suffix_dedup, op4_toxicity, op5_packing, op6_language_id, op7_top_k, op8_pii,
                                    op9_token_counts, op10_decontamination)}
 
 ORACLE: dict[str, str] = {}

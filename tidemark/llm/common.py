@@ -28,12 +28,13 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def arrow_scan(fn, kind):
-    """``fn`` (an iterator of Arrow arrays to an iterator of Arrow arrays) as a column
-    function: only its argument goes to Python, every other column passes by. Marked
+def arrow_scan(fn, kind, arguments: int = 1):
+    """``fn`` (an iterator of Arrow arrays, or tuples of them, to an iterator of Arrow arrays)
+    as a column function: only its arguments go to Python, every other column passes by. Marked
     non-deterministic so that a filter on the result never evaluates it a second time."""
     import pyarrow as pa
-    fn.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    given = pa.Array if arguments == 1 else tuple[(pa.Array,) * arguments]
+    fn.__annotations__ = {"batches": Iterator[given], "return": Iterator[pa.Array]}
     return F.arrow_udf(fn, kind).asNondeterministic()
 
 
