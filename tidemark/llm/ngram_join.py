@@ -11,7 +11,7 @@
    set it can be similar to. Candidates that share a prefix n-gram have their overlap
    counted fragment by fragment (partial overlaps), summed per pair and checked exactly.
 4. Only components are asked for, so pairs already connected are never compared: rounds
-   pair each prefix list with one random member (a star, as many rows as entries), merge
+   pair each set with the pivot of one of its prefix lists (a star, one pair per set), merge
    what links, and drop the lists that have become one component. The exact end compares all pairs of
    different components in the remaining lists, each distinct list once.
 
@@ -137,12 +137,21 @@ def _count_heavy(words: int, share: float):
 SEGMENTS = "kind int, frag int, doc_id long, n int, sid long, data binary"
 
 
-def _segment(words: int, heavy, frags: int):
+def _fragment_keys(spark, parts: int) -> list[int]:
+    """One integer per task of a hash partitioning into ``parts``, so that fragments and
+    tasks are one to one (a few of each task are tried; their number depends on ``parts`` alone)."""
+    k = F.col("id").cast("int")
+    got = (spark.range(parts * 40 + 400).groupBy(F.pmod(F.hash(k), F.lit(parts)).alias("p")).agg(F.min(k)).collect())
+    keys = dict((r[0], r[1]) for r in got)
+    return [keys.get(p, p) for p in range(parts)]
+
+
+def _segment(words: int, heavy, keys: list[int]):
     """Map side: membership (kind 0), packed segments (kind 1), heavy n-grams of a set (kind 2)."""
     def cut(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
-        hot = heavy.value
+        hot, frags = heavy.value, len(keys)
         seen: set = set()
         rows: list = []
         held, size = [], 0
@@ -158,8 +167,9 @@ def _segment(words: int, heavy, frags: int):
             for f in np.flatnonzero(np.diff(cuts)):
                 at = order[cuts[f]:cuts[f + 1]]
                 who, runs = np.unique(which[at], return_counts=True)
-                rows.append((1, int(f), None, len(who), None, sid[who].tobytes() + n[who].tobytes()
-                             + runs.astype(np.int32).tobytes() + h[at].tobytes()))
+                rest = (h[at] // np.uint64(frags)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+                rows.append((1, keys[f], None, len(who), None, sid[who].tobytes() + n[who].tobytes()
+                             + runs.astype(np.int32).tobytes() + rest.tobytes()))
 
         def batch():
             cols = list(zip(*rows)) if rows else [[]] * 6
@@ -169,13 +179,13 @@ def _segment(words: int, heavy, frags: int):
             rows.clear()
             return out
         for d, s, sid in _sets(batches, words):
-            rows.append((0, (sid if len(s) else hash(d)) % frags, d, len(s), sid if len(s) else None, None))
+            rows.append((0, keys[(sid if len(s) else hash(d)) % frags], d, len(s), sid if len(s) else None, None))
             if len(s) and sid not in seen:
                 seen.add(sid)
                 if len(hot):
                     is_hot = hot[np.minimum(np.searchsorted(hot, s), len(hot) - 1)] == s
                     if is_hot.any():
-                        rows.append((2, sid % frags, None, len(s), sid, s[is_hot].tobytes()))
+                        rows.append((2, keys[sid % frags], None, len(s), sid, s[is_hot].tobytes()))
                         held.append((sid, len(s), s[~is_hot]))
                     else:
                         held.append((sid, len(s), s))
@@ -201,7 +211,9 @@ def _unpack(rows):
         sid = np.frombuffer(raw, np.int64, m)
         size = np.frombuffer(raw, np.int32, m, 8 * m)
         runs = np.frombuffer(raw, np.int32, m, 12 * m)
-        h.append(np.frombuffer(raw, np.uint64, -1, 16 * m))
+        rest = np.zeros((int(runs.sum()), 8), np.uint8)
+        rest[:, :6] = np.frombuffer(raw, np.uint8, -1, 16 * m).reshape(-1, 6)
+        h.append(rest.view("<u8").ravel())
         s.append(np.repeat(sid, runs))
         n.append(np.repeat(size, runs))
     if not h:
@@ -209,11 +221,13 @@ def _unpack(rows):
     return np.concatenate(h), np.concatenate(s), np.concatenate(n)
 
 
-def _count_fragment(frags: int):
-    """One task's fragments: count sets per n-gram, keep shared n-grams, deal them to their sets."""
+def _count_fragment(keys: list[int]):
+    """One task's fragment: count sets per n-gram, keep shared n-grams, deal them to their sets."""
     def count(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
+        from pyspark import TaskContext
+        frags, mine = len(keys), TaskContext.get().partitionId()
         packed = []
         for b in batches:
             kind = b.column(0).to_numpy(zero_copy_only=False)
@@ -242,9 +256,10 @@ def _count_fragment(frags: int):
         order = np.argsort(frag, kind="stable")
         cuts = np.searchsorted(frag[order], np.arange(frags + 1))
         rows = []
+        h = h * np.uint64(frags) + np.uint64(mine)             # fragments stay apart
         for f in np.flatnonzero(np.diff(cuts)):
             at = order[cuts[f]:cuts[f + 1]]
-            rows.append((1, int(f), None, len(at), None, s[at].tobytes() + h[at].tobytes() + n[at].tobytes()
+            rows.append((1, keys[f], None, len(at), None, s[at].tobytes() + h[at].tobytes() + n[at].tobytes()
                          + df[at].tobytes()))
         cols = list(zip(*rows)) if rows else [[]] * 6
         kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
@@ -315,15 +330,17 @@ def shared_sets(docs: DataFrame, id_col: str, text_col: str, words: int, thresho
            .select("h").collect())                             # at most 1 / heavy_share rows
     heavy = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in hot], np.int64).view(np.uint64)))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(entries / 3_000_000))
-    frags = 16 * parts                                         # several to a task even out their sizes
-    cut = src.mapInArrow(_segment(words, heavy, frags), SEGMENTS).repartition(parts, "frag")
-    dealt = cut.mapInArrow(_count_fragment(frags), SEGMENTS).repartition(parts, "frag")
+    keys = _fragment_keys(spark, parts)
+    cut = src.mapInArrow(_segment(words, heavy, keys), SEGMENTS).repartition(parts, "frag")
+    dealt = cut.mapInArrow(_count_fragment(keys), SEGMENTS).repartition(parts, "frag")
     return saved(dealt.mapInArrow(_prefixes(threshold), SETS), "sets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: int, fragments: int) -> DataFrame:
     """The pairs (a, b) whose Jaccard similarity reaches the threshold: partial overlaps are
     counted per fragment of the n-gram domain and summed per pair."""
+    need = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
+    sets = sets.join(need, "sid", "left_semi")
     seg = sets.select("sid", "n", F.explode(F.sequence(F.lit(0), F.lit(fragments - 1))).alias("f"), "shared")
     seg = (seg.select("sid", "n", "f", F.filter("shared", lambda x: F.pmod(x, F.lit(fragments)) == F.col("f"))
                       .alias("seg")).where(F.size("seg") > 0))
@@ -337,22 +354,29 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: int, fragments: int)
 
 def set_components(sets: DataFrame, threshold: int, fragments: int) -> DataFrame:
     """(sid, comp): the connected component of every set that has a shared prefix."""
-    close = ((100 * F.least("n", "n2") >= threshold * F.greatest("n", "n2")))
-    entry = sets.select("sid", "n", F.explode("prefix").alias("h"), F.col("sid").alias("comp"))
+    # sizes allow it, and so do the shared n-grams, which bound the overlap
+    close = ((100 * F.least("n", "n2") >= threshold * F.greatest("n", "n2"))
+             & ((100 + threshold) * F.least("r", "r2") >= threshold * (F.col("n") + F.col("n2"))))
+    entry = sets.select("sid", "n", F.size("shared").alias("r"), F.explode("prefix").alias("h"),
+                        F.col("sid").alias("comp"))
     crowd = F.col("lo") < F.col("hi")
     e = saved(entry.join(entry.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                          .where(crowd).select("h"), "h", "left_semi"), "entries")
     label = saved(e.select("sid", "comp").distinct(), "labels")
-    turn = 0
+    turn, before = 0, None
     while True:
         turn += 1
+        # pivots: sets with the least of their own first, another draw in each round
+        unlike = F.struct(F.floor(20 * (F.col("n") - F.col("r")) / F.col("n")), F.xxhash64("sid", F.lit(turn)))
         lists = e.groupBy("h").agg(
             F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-            F.min_by(F.struct(F.col("sid").alias("sid2"), F.col("n").alias("n2"), F.col("comp").alias("comp2")),
-                     F.xxhash64("sid", "h", F.lit(turn))).alias("pivot"))
-        star = (e.join(lists.where(crowd), "h").select("sid", "n", "comp", "pivot.*")
+            F.min_by(F.struct(F.col("sid").alias("sid2"), F.col("n").alias("n2"), F.col("r").alias("r2"),
+                              F.col("comp").alias("comp2")), unlike).alias("pivot"))
+        star = (e.join(lists.where(crowd), "h").select("sid", "n", "r", "comp", "pivot.*")
                 .where((F.col("comp") != F.col("comp2")) & close))
-        links = _links(star, sets, threshold, fragments)
+        star = star.groupBy("sid", "n", "r", "comp").agg(
+            F.min_by(F.struct("sid2", "n2", "r2", "comp2"), F.xxhash64("sid", "sid2", F.lit(turn))).alias("one"))
+        links = _links(star.select("sid", "comp", "one.*"), sets, threshold, fragments)
         e, label, merged = _merge(e, label, links)
         # members and pairs of different components in the lists left, each distinct list once
         per = e.groupBy("h", "comp").agg(F.count("*").alias("k"), F.sum(F.xxhash64("sid").cast("decimal(38,0)"))
@@ -363,10 +387,11 @@ def set_components(sets: DataFrame, threshold: int, fragments: int) -> DataFrame
         pairs, members = once.agg(F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2), F.sum("k")).first()
         if not members:
             return label
-        if pairs <= 4 * members or not merged:
-            break
+        if pairs <= 4 * members or not merged or (before and pairs > 0.5 * before):
+            break                                              # the exact end takes what rounds no longer thin out
+        before = pairs
     e = saved(e.join(once.select("h"), "h", "left_semi"), "rest")
-    other = e.select("h", F.col("sid").alias("sid2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
+    other = e.select("h", F.col("sid").alias("sid2"), F.col("n").alias("n2"), F.col("r").alias("r2"), F.col("comp").alias("comp2"))
     cross = e.join(other, "h").where((F.col("sid") < F.col("sid2")) & (F.col("comp") != F.col("comp2")) & close)
     _, label, _ = _merge(None, label, _links(cross, sets, threshold, fragments))
     return label
