@@ -224,6 +224,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     import numpy as np
     table_w, _ = _nystroem_svm(pos, weak, neg)
     hard = _hardest(clean, table_w, 400)
+    pos = _apart(pos, [h for h, _ in hard] + neg)
+    if not pos:
+        return None
+    weak = [w[:k] + "x" + w[k:] for w in pos for k in range(1, len(w))]
     weights, _ = _nystroem_svm(pos, weak, list(dict.fromkeys([h for h, _ in hard] + neg)))
     hard = _hardest(clean, weights, 1)
     low = hard[0][1] if hard else 0.0
@@ -233,6 +237,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return Model(weights, low, high, pos)
 
 
+def _apart(pos: list[str], clean: list[str], most: float = 0.75) -> list[str]:
+    """The witnesses that no clean word resembles: a cosine of ``most`` in the kernel's space
+    or more means that ordinary words share the form, and the label lies elsewhere."""
+    import numpy as np
+    def unit(words):
+        x = features(words)
+        return x / np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-9)
+    p = unit(pos)
+    near = np.max([(p @ unit(clean[k:k + 256]).T).max(1) for k in range(0, len(clean), 256)], 0)
+    return [w for w, c in zip(pos, near) if c < most]
+
+
 def _uses_scan(batches: Iterator) -> Iterator:
     """Every use of a word in each text, as "word before after" (normalised)."""
     import numpy as np
