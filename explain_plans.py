@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from tidemark.session import build_session, checkpoint_root
-    spark = build_session(shuffle_partitions=8)
+    spark = build_session(master="local[8]", shuffle_partitions=8)
     checkpoint_root(spark)
     from pyspark.sql import functions as F
     from tidemark.operators import validate

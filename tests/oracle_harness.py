@@ -117,7 +117,7 @@ if __name__ == "__main__":
     keys = sys.argv[2:]
     from tidemark.session import build_session
     import __spark_entry__ as E
-    spark = build_session()
+    spark = build_session(master="local[8]", shuffle_partitions=8)
     qs, ors = E.queries(), E.oracle_sql()
     con = duck_conn(SF)
     bad = 0

@@ -28,9 +28,10 @@ def test_dead_letter_split(spark):
                           ('{"event_id": 5, "user": "bob", "action": "click"}', "missing_field:value")])
 
 
-def test_raw_line_is_cut_at_900(spark):
-    _, bad = messaging.parse_or_dead_letter(spark.createDataFrame([("x" * 2000,)], "value string"), SCHEMA)
-    assert len(bad.first()["raw_line"]) == 900
+def test_raw_line_is_whole_unless_a_preview_is_asked_for(spark):
+    lines = spark.createDataFrame([("x" * 2000,)], "value string")
+    assert len(messaging.parse_or_dead_letter(lines, SCHEMA)[1].first()["raw_line"]) == 2000
+    assert len(messaging.parse_or_dead_letter(lines, SCHEMA, preview_chars=900)[1].first()["raw_line"]) == 900
 
 
 def test_retry_then_dead_letter(spark):

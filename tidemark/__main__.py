@@ -53,7 +53,7 @@ def main(argv=None) -> int:
     ap.add_argument("--ingest_from")
     ap.add_argument("--ingest_to")
     ap.add_argument("--max_reject_rate", type=float, default=0.05)
-    ap.add_argument("--master", default="local[*]")
+    ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
     from tidemark.plans import generate, medallion

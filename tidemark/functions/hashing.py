@@ -30,9 +30,14 @@ def u01(n, salt: str) -> Column:
 
 
 def row_hash(*cols, sep: str = "|") -> Column:
-    """Null-safe MD5 of several columns: a NULL attribute still changes the hash."""
-    parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(NULL_MARKER))
-             for c in cols]
+    """Null-safe MD5 of several columns: a NULL attribute still changes the hash.
+    Backslashes and separators inside a value are escaped, so ("a|b", "c") and
+    ("a", "b|c") differ, and a literal ``\\N`` is not a NULL."""
+    def part(c):
+        v = (F.col(c) if isinstance(c, str) else c).cast("string")
+        v = F.replace(F.replace(v, F.lit("\\"), F.lit("\\\\")), F.lit(sep), F.lit("\\" + sep))
+        return F.coalesce(v, F.lit(NULL_MARKER))
+    parts = [part(c) for c in cols]
     return F.md5(F.concat_ws(sep, *parts))
 
 

@@ -77,7 +77,10 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, salt_buckets: int, ho
     """Spread a hot key over ``salt_buckets`` tasks.
 
     Fact rows get a salt from a hash of the whole row; dimension rows are replicated
-    once per salt value, so the output is exactly the plain join."""
+    once per salt value, so the output is exactly the plain join. Right and full joins
+    would repeat unmatched dimension rows once per salt, so they are refused."""
+    if how not in ("inner", "left", "left_outer", "left_semi", "semi", "left_anti", "anti"):
+        raise ValueError("salted_join keeps the fact side only: %r is not supported" % how)
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salt_buckets))
     f = fact.withColumn("_salt", salt)
     d = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))

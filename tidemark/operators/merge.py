@@ -31,5 +31,6 @@ def apply_cdc(target: DataFrame, changes: DataFrame, key: str, seq: str, op: str
     t = target.select(*[F.col(c).alias("_t_" + c) for c in cols])
     j = t.join(newest, t["_t_" + key] == newest[key], "full")
     has_change = F.col(key).isNotNull()
-    out = j.filter(~has_change | (F.col(op) != F.lit(delete_value)))
+    # an unknown (NULL) operation is not a delete: the change's row replaces the target row
+    out = j.filter(~has_change | ~F.col(op).eqNullSafe(F.lit(delete_value)))
     return out.select(*[F.when(has_change, F.col(c)).otherwise(F.col("_t_" + c)).alias(c) for c in cols])

@@ -23,7 +23,7 @@ FREE_TIER_TIB = 1.0
 def has_label(labels: Column | str, key: str) -> Column:
     """EXISTS (SELECT 1 FROM UNNEST(labels) WHERE key = k)."""
     arr = F.col(labels) if isinstance(labels, str) else labels
-    return F.exists(arr, lambda x: x["key"] == F.lit(key))
+    return F.coalesce(F.exists(arr, lambda x: F.coalesce(x["key"] == F.lit(key), F.lit(False))), F.lit(False))
 
 
 def label_value(labels: Column | str, key: str) -> Column:
@@ -33,11 +33,14 @@ def label_value(labels: Column | str, key: str) -> Column:
 
 
 def sum_nested(arr: Column | str, field: str, pred=None, acc_type: str = "decimal(18,7)") -> Column:
-    """(SELECT IFNULL(SUM(c.field), 0) FROM UNNEST(arr) c WHERE pred), exact decimals."""
+    """(SELECT IFNULL(SUM(c.field), 0) FROM UNNEST(arr) c WHERE pred), exact decimals.
+    NULL elements are skipped; a NULL array sums to 0."""
     a = F.col(arr) if isinstance(arr, str) else arr
     if pred is not None:
         a = F.filter(a, pred)
-    return F.aggregate(a, F.lit(0).cast(acc_type), lambda acc, x: (acc + x[field]).cast(acc_type))
+    total = F.aggregate(a, F.lit(0).cast(acc_type),
+                        lambda acc, x: (acc + F.coalesce(x[field], F.lit(0))).cast(acc_type))
+    return F.coalesce(total, F.lit(0).cast(acc_type))
 
 
 def done_queries(jobs: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ ever has to be cleared.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -22,11 +21,13 @@ REQUIRED_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", app: str = "tidemark", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, app: str = "tidemark", shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
-    b = (SparkSession.builder.master(master).appName(app)
+    """A session with the library's settings. Master, shuffle partitions and driver memory
+    are the cluster's to choose: they are set only when passed (driver memory for an
+    explicit local master, where the driver does the work)."""
+    b = (SparkSession.builder.appName(app)
          .config("spark.ui.enabled", "false")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          # size post-shuffle partitions by bytes (advisory 64 MB), not by core count:
@@ -37,8 +38,13 @@ def build_session(master: str = "local[8]", app: str = "tidemark", shuffle_parti
          # the JVM heap; checkpointed to the shared folder like any state store
          .config("spark.sql.streaming.stateStore.providerClass",
                  "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-         .config("spark.driver.memory", "8g"))
+         .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+    if master:
+        b = b.master(master)
+        if master.startswith("local"):
+            b = b.config("spark.driver.memory", "8g")
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in REQUIRED_CONF.items():
         b = b.config(k, v)
     for k, v in (extra or {}).items():
@@ -78,6 +84,6 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint root."""
     path = "%s/tidemark/%s-%s" % (checkpoint_root(spark), name, uuid.uuid4().hex[:12])
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(jpath)
     return path

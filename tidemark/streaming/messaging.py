@@ -8,19 +8,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Raw lines kept in the dead-letter table are cut at this length.
-RAW_LINE_MAX = 900
 
 
 def _is_int_text(c: Column) -> Column:
     return c.rlike(r"^-?[0-9]+$")
 
 
-def parse_or_dead_letter(lines: DataFrame, schema: dict[str, str], line_col: str = "value"):
+def parse_or_dead_letter(lines: DataFrame, schema: dict[str, str], line_col: str = "value",
+                         preview_chars: int | None = None):
     """JSON lines -> (good typed rows, dead letters with a reason).
 
     Every line gets exactly one outcome: malformed JSON, a missing required field,
     or a field that does not cast to its type; otherwise it is good. The reason is
-    attached to the dead letter together with the raw line (cut at 900 characters)."""
+    attached to the dead letter together with the whole raw line, so that it can be
+    replayed (``preview_chars`` cuts it, where only a preview is wanted)."""
     ddl = ", ".join("%s string" % f for f in schema) + ", _corrupt_record string"
     parsed = lines.withColumn("_p", F.from_json(F.col(line_col), ddl, {
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
@@ -30,12 +31,14 @@ def parse_or_dead_letter(lines: DataFrame, schema: dict[str, str], line_col: str
         reason = reason.when(F.col("_p." + f).isNull(), F.lit("missing_field:" + f))
     for f, typ in schema.items():
         if typ in ("int", "bigint", "integer", "long"):
-            reason = reason.when(~_is_int_text(F.col("_p." + f)), F.lit("bad_type:" + f))
+            fits = _is_int_text(F.col("_p." + f)) & F.col("_p." + f).try_cast(typ).isNotNull()
+            reason = reason.when(~fits, F.lit("bad_type:" + f))
     scored = parsed.withColumn("_reason", reason)
     good = scored.filter(F.col("_reason").isNull()).select(
-        *[F.col("_p." + f).cast(t).alias(f) for f, t in schema.items()])
+        *[F.col("_p." + f).try_cast(t).alias(f) for f, t in schema.items()])
     bad = scored.filter(F.col("_reason").isNotNull()).select(
-        F.substring(F.col(line_col), 1, RAW_LINE_MAX).alias("raw_line"), F.col("_reason").alias("error"))
+        (F.col(line_col) if preview_chars is None else F.substring(F.col(line_col), 1, preview_chars))
+        .alias("raw_line"), F.col("_reason").alias("error"))
     return good, bad
 
 
@@ -53,8 +56,9 @@ def retry_or_dead_letter(deliveries: DataFrame, msg_id: str, ok: str, max_attemp
     g = deliveries.groupBy(msg_id).agg(
         F.count(F.lit(1)).alias("deliveries"),
         F.min(F.when(F.col(ok), F.col("attempt"))).alias("acked_at"))
-    attempts = F.coalesce(F.col("acked_at"), F.least(F.col("deliveries"), F.lit(max_attempts)))
-    status = (F.when(F.col("acked_at").isNotNull() & (F.col("acked_at") <= max_attempts), "acked")
+    in_time = F.col("acked_at").isNotNull() & (F.col("acked_at") <= max_attempts)
+    attempts = F.when(in_time, F.col("acked_at")).otherwise(F.least(F.col("deliveries"), F.lit(max_attempts)))
+    status = (F.when(in_time, "acked")
               .when(F.col("deliveries") >= max_attempts, "dead_letter").otherwise("retrying"))
     return g.select(msg_id, attempts.cast("bigint").alias("attempts"), status.alias("status"))
 

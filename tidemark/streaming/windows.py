@@ -65,7 +65,7 @@ def session(df: DataFrame, ts: str, gap: str, keys: list[str], bucket_seconds: i
     gap_iv = F.expr("INTERVAL %d SECONDS" % gap_s)
     sec = F.unix_seconds(F.col(ts).cast("timestamp"))
     wb = Window.partitionBy(*keys, "_bucket").orderBy(F.col(ts))
-    local = (df.select(*keys, F.col(ts), F.floor(sec / bucket_seconds).alias("_bucket"))
+    local = (df.filter(F.col(ts).isNotNull()).select(*keys, F.col(ts), F.floor(sec / bucket_seconds).alias("_bucket"))
              .withColumn("_new", F.when(F.col(ts) < F.lag(ts).over(wb) + gap_iv, 0).otherwise(1))
              .withColumn("_sid", F.sum("_new").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
              .groupBy(*keys, "_bucket", "_sid")
