@@ -21,8 +21,6 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.llm.common import saved
-
 #: RFC 4648 base32 digits against the digits that conv(.., 32) writes. Fixed values.
 CONV_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 BASE32_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -60,9 +58,9 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     shuffled once, by (address, id), combined map-side."""
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         F.encode(F.coalesce(F.col(body_col), F.lit("")), "UTF-8").alias("payload"))
-    rows = rows.withColumn("address", F.sha2("payload", 256))
-    narrow = saved(rows.select("page_id", "url", "address", base32_sha1(F.col("payload")).alias("sha1"),
-                               F.octet_length("payload").cast("long").alias("n")), "warc-narrow")
+    rows = rows.withColumn("address", F.unhex(F.sha2("payload", 256)))
+    narrow = rows.select("page_id", "url", "address", base32_sha1(F.col("payload")).alias("sha1"),
+                         F.octet_length("payload").cast("long").alias("n"))
     keepers = narrow.groupBy("address").agg(F.min("page_id").alias("keeper"))
 
     j = narrow.join(keepers, "address")
@@ -81,7 +79,8 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
         _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
         _line("Content-Type", F.lit("application/http; msgtype=response")),
         _line("Content-Length", body_len), F.lit("\r\n"), http)
-    j.select("address", F.encode(header, "UTF-8").alias("header")).write.parquet(path + "/records")
+    (j.select("address", F.encode(header, "UTF-8").alias("header"))
+     .write.option("compression", "zstd").parquet(path + "/records"))
 
     key = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
     once = rows.groupBy("address", key.alias("k")).agg(F.first("payload").alias("payload"))
@@ -94,8 +93,8 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Whole records again: (address, header, payload), every payload verified against
     its SHA-256 address. A hot payload only repeats on the record side, which the join can split."""
     payloads = spark.read.parquet(path + "/payloads")
-    bad = F.raise_error(F.concat(F.lit("payload does not match its address "), F.col("address")))
-    checked = payloads.select("address", F.when(F.sha2("payload", 256) == F.col("address"), F.col("payload"))
+    bad = F.raise_error(F.concat(F.lit("payload does not match its address "), F.hex("address")))
+    checked = payloads.select("address", F.when(F.unhex(F.sha2("payload", 256)) == F.col("address"), F.col("payload"))
                               .otherwise(bad.cast("binary")).alias("payload"))
     return spark.read.parquet(path + "/records").join(checked, "address")
 
