@@ -9,7 +9,8 @@
    found by a first pass) are not shuffled by hash but come last in the order.
 3. A set of n n-grams needs only its first n - ceil(t n) + 1 in the order (prefix) to meet every
    set it can be similar to. Candidates that share a prefix n-gram have their overlap
-   counted fragment by fragment (partial overlaps), summed per pair and checked exactly.
+   counted fragment by fragment (partial overlaps), summed per pair and checked exactly. The
+   n-grams from the common one on bound the overlap, so most lists yield few candidates.
 4. Only components are asked for, so pairs already connected are never compared: rounds
    pair each set with the pivot of one of its prefix lists (a star, one pair per set), merge
    what links, and drop the lists that have become one component. The exact end compares all pairs of
@@ -354,10 +355,12 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: int, fragments: int)
 
 def set_components(sets: DataFrame, threshold: int, fragments: int) -> DataFrame:
     """(sid, comp): the connected component of every set that has a shared prefix."""
-    # sizes allow it, and so do the shared n-grams, which bound the overlap
+    # sizes allow it, and so do the shared n-grams from this one on, which bound the overlap: a
+    # similar pair meets in the list of its first common n-gram, and none of its overlap lies before
+    left, left2 = F.col("r") - F.col("pos"), F.col("r2") - F.col("pos2")
     close = ((100 * F.least("n", "n2") >= threshold * F.greatest("n", "n2"))
-             & ((100 + threshold) * F.least("r", "r2") >= threshold * (F.col("n") + F.col("n2"))))
-    entry = sets.select("sid", "n", F.size("shared").alias("r"), F.explode("prefix").alias("h"),
+             & ((100 + threshold) * F.least(left, left2) >= threshold * (F.col("n") + F.col("n2"))))
+    entry = sets.select("sid", "n", F.size("shared").alias("r"), F.posexplode("prefix").alias("pos", "h"),
                         F.col("sid").alias("comp"))
     crowd = F.col("lo") < F.col("hi")
     e = saved(entry.join(entry.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
@@ -371,11 +374,11 @@ def set_components(sets: DataFrame, threshold: int, fragments: int) -> DataFrame
         lists = e.groupBy("h").agg(
             F.min("comp").alias("lo"), F.max("comp").alias("hi"),
             F.min_by(F.struct(F.col("sid").alias("sid2"), F.col("n").alias("n2"), F.col("r").alias("r2"),
-                              F.col("comp").alias("comp2")), unlike).alias("pivot"))
-        star = (e.join(lists.where(crowd), "h").select("sid", "n", "r", "comp", "pivot.*")
+                              F.col("pos").alias("pos2"), F.col("comp").alias("comp2")), unlike).alias("pivot"))
+        star = (e.join(lists.where(crowd), "h").select("sid", "n", "r", "pos", "comp", "pivot.*")
                 .where((F.col("comp") != F.col("comp2")) & close))
-        star = star.groupBy("sid", "n", "r", "comp").agg(
-            F.min_by(F.struct("sid2", "n2", "r2", "comp2"), F.xxhash64("sid", "sid2", F.lit(turn))).alias("one"))
+        star = star.groupBy("sid", "comp").agg(
+            F.min_by(F.struct("sid2", "comp2"), F.xxhash64("sid", "sid2", F.lit(turn))).alias("one"))
         links = _links(star.select("sid", "comp", "one.*"), sets, threshold, fragments)
         e, label, merged = _merge(e, label, links)
         # members and pairs of different components in the lists left, each distinct list once
@@ -383,16 +386,19 @@ def set_components(sets: DataFrame, threshold: int, fragments: int) -> DataFrame
                                          .alias("s1"), F.expr("bit_xor(xxhash64(sid, 7))").alias("s2"))
         per = per.groupBy("h").agg(F.count("*").alias("comps"), F.sum("k").alias("k"), F.sum("s1").alias("s1"),
                                    F.expr("bit_xor(s2)").alias("s2"), F.sum(F.col("k") * F.col("k")).alias("kk"))
-        once = saved(per.where("comps > 1").groupBy("k", "s1", "s2", "kk").agg(F.min("h").alias("h")), "lists")
+        per = saved(per.where("comps > 1").drop("comps"), "lists")
+        once = per.groupBy("k", "s1", "s2", "kk").agg(F.min("h").alias("list"))
         pairs, members = once.agg(F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2), F.sum("k")).first()
         if not members:
             return label
         if pairs <= 4 * members or not merged or (before and pairs > 0.5 * before):
             break                                              # the exact end takes what rounds no longer thin out
         before = pairs
-    e = saved(e.join(once.select("h"), "h", "left_semi"), "rest")
-    other = e.select("h", F.col("sid").alias("sid2"), F.col("n").alias("n2"), F.col("r").alias("r2"), F.col("comp").alias("comp2"))
-    cross = e.join(other, "h").where((F.col("sid") < F.col("sid2")) & (F.col("comp") != F.col("comp2")) & close)
+    # lists with the same members are one; a set counts from its earliest n-gram among them
+    lists = per.join(once, ["k", "s1", "s2", "kk"]).select("h", "list")
+    e = saved(e.join(lists, "h").groupBy("list", "sid", "n", "r", "comp").agg(F.min("pos").alias("pos")), "rest")
+    other = e.select("list", *[F.col(c).alias(c + "2") for c in ("sid", "n", "r", "pos", "comp")])
+    cross = e.join(other, "list").where((F.col("sid") < F.col("sid2")) & (F.col("comp") != F.col("comp2")) & close)
     _, label, _ = _merge(None, label, _links(cross, sets, threshold, fragments))
     return label
 
