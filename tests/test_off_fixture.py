@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import row_hash
-from tidemark.operators import joins, merge, usage
+from tidemark.operators import gates, joins, merge, usage
+from tidemark.session import scratch_dir
+from tidemark.sources import files, layout
 from tidemark.streaming import messaging, windows
 
 
@@ -55,3 +57,35 @@ def test_salted_join_refuses_right_joins(spark):
     df = spark.range(2).select(F.col("id").alias("k"))
     with pytest.raises(ValueError):
         joins.salted_join(df, df, "k", 4, "right")
+
+
+def test_partition_guard_looks_at_the_plan(spark):
+    path = scratch_dir(spark, "guard") + "/t"
+    df = spark.range(30).select("id", F.date_add(F.lit(dt.date(2026, 1, 1)), (F.col("id") % 3).cast("int")).alias("m"))
+    layout.write_partitioned(df, path, "m")
+    for nothing in ("", "id > 3", "m = m OR 1 = 1", "m IS NOT NULL", "id > 3 OR m > DATE '2026-01-01'"):
+        with pytest.raises(layout.MissingPartitionFilter):
+            layout.guarded_read(spark, path, "m", nothing)
+    assert layout.guarded_read(spark, path, "m", "m = DATE '2026-01-02' AND id > 3").count() == 9
+    assert layout.guarded_read(spark, path, "m", "m >= DATE '2026-01-02'").count() == 20
+
+
+def test_trailing_gate_counts_calendar_days(spark):
+    days = [(dt.date(2026, 1, d), n) for d, n in ((1, 1000), (2, 10), (9, 10), (20, 99))]
+    out = gates.gate_trailing(spark.createDataFrame(days, "d date, n long"), "d", "n", 7, 0.5)
+    got = {r["d"].day: (r["trailing_avg"], r["passed"]) for r in out.collect()}
+    assert got == {1: (None, True), 2: (1000.0, False), 9: (10.0, True), 20: (None, True)}
+
+
+def test_hot_keys_are_counted_over_all_rows(spark):
+    fact = spark.range(1000).select(F.when(F.col("id") < 300, "a").when(F.col("id") < 310, "b").when(
+        F.col("id") < 700, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k"))
+    assert sorted(joins.hot_keys(fact, "k")) == ["a", "b"]
+    assert joins.hot_keys(fact, "k", 0.2) == ["a"] and joins.hot_keys(fact.where("false"), "k") == []
+
+
+def test_bucket_counts_of_many_partitions(spark):
+    df = spark.range(5000).select("id", F.date_add(F.lit(dt.date(2020, 1, 1)), (F.col("id") % 500).cast("int")).alias("d"))
+    counts = {str(dt.date(2020, 1, 1) + dt.timedelta(days=k)): 10 for k in range(500)}
+    out = files.bucketed_by_counts(df, "d", counts, rows_per_file=4)
+    assert out.columns == df.columns and out.exceptAll(df).isEmpty() and out.count() == 5000

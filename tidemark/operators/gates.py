@@ -6,7 +6,7 @@ small frame (one row per gate) that a caller may collect and act on.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -80,21 +80,27 @@ def freshness_of(df: DataFrame, built_col: str, now: str, sla_minutes: int = 60)
 
 def gate_trailing(daily: DataFrame, date_col: str, value_col: str, days: int = 7,
                   tolerance: float = 0.5) -> DataFrame:
-    """today's volume against the average of the previous ``days`` rows.
-
-    ``daily`` is already one row per date (small). A date with no history passes."""
-    w = Window.orderBy(date_col).rowsBetween(-days, -1)
-    avg = F.avg(F.col(value_col)).over(w)
+    """A date's volume against the average of the ``days`` calendar days before it.
+
+    Each date's value is dealt to the ``days`` dates after it and averaged there, so a missing
+    day does not widen the window and no task holds the whole history. A date with no
+    history passes."""
+    d = F.col(date_col).cast("date")
+    later = daily.select(F.explode(F.sequence(F.date_add(d, 1), F.date_add(d, days))).alias("_day"),
+                         F.col(value_col).alias("_v"))
+    before = later.groupBy("_day").agg(F.avg("_v").alias("trailing_avg"))
+    avg = F.col("trailing_avg")
     lo, hi = avg * (1 - tolerance), avg * (1 + tolerance)
-    return daily.select(date_col, value_col, avg.alias("trailing_avg"),
-                        (avg.isNull() | ((F.col(value_col) >= lo) & (F.col(value_col) <= hi))).alias("passed"))
+    return daily.join(before, d == F.col("_day"), "left").select(
+        date_col, value_col, "trailing_avg",
+        (avg.isNull() | ((F.col(value_col) >= lo) & (F.col(value_col) <= hi))).alias("passed"))
 
 
 def gate_distribution(df: DataFrame, baseline: DataFrame, col: str, tolerance: float = 0.05) -> DataFrame:
     """Q22: category shares against a baseline; a category missing on one side counts as share 0."""
     def shares(d: DataFrame, name: str) -> DataFrame:
         c = d.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-        return c.select(col, (F.col("_n") / F.sum("_n").over(Window.partitionBy())).alias(name))
+        return c.select(col, (F.col("_n") / c.agg(F.sum("_n")).scalar()).alias(name))
     j = shares(df, "share").join(shares(baseline, "baseline_share"), col, "full")
     diff = F.abs(F.coalesce(F.col("share"), F.lit(0.0)) - F.coalesce(F.col("baseline_share"), F.lit(0.0)))
     return j.select(col, F.coalesce(F.col("share"), F.lit(0.0)).alias("share"),

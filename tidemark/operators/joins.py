@@ -87,20 +87,15 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, salt_buckets: int, ho
     return f.join(d, [key, "_salt"], how).drop("_salt")
 
 
-def hot_keys(fact: DataFrame, key: str, min_share: float = 0.01, max_keys: int = 1000,
-             sample_fraction: float = 0.05, seed: int = 17) -> list:
-    """Keys holding at least ``min_share`` of the rows (at most ``max_keys`` of them).
-
-    Detected on a Bernoulli sample of the key column (one light pass; partial counts
-    per task): a key above the share shows up thousands of times in any sample of a
-    large table. Only the detection is sampled - which keys take the broadcast path
-    changes speed, never the result, since both paths together cover every row."""
-    sample = fact.select(key).sample(fraction=sample_fraction, seed=seed) if sample_fraction < 1 else fact.select(key)
-    counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.orderBy(F.col("_n").desc()).limit(max_keys).collect()
-    total = sample.count() if top else 0
-    threshold = max(1, total * min_share)
-    return [r[0] for r in top if r["_n"] >= threshold and r[0] is not None]
+def hot_keys(fact: DataFrame, key: str, min_share: float = 0.01) -> list:
+    """Keys holding at least ``min_share`` of the rows: at most 1 / ``min_share`` of them.
+
+    Counted over all rows; the counts are combined map-side, so a hot key reaches the
+    shuffle as one row per task. Nulls join nothing and are left out."""
+    counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    hot = counts.where(F.col(key).isNotNull() & (F.col("_n") >= F.lit(min_share) * total))
+    return [r[0] for r in hot.select(key).collect()]
 
 
 def skew_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", min_share: float = 0.01,

@@ -304,7 +304,8 @@ ORACLE = {
                round(min(c.a + c.b * l_quantity), 2) AS min_pred, round(max(c.a + c.b * l_quantity), 2) AS max_pred
         FROM lineitem, c""",
     "gate_trailing": """WITH d AS (SELECT CAST(o_orderdate AS DATE) AS order_date, count(*) AS n FROM orders GROUP BY 1),
-        w AS (SELECT order_date, n, avg(n) OVER (ORDER BY order_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS a FROM d)
+        w AS (SELECT order_date, n, avg(n) OVER (ORDER BY order_date RANGE BETWEEN INTERVAL 7 DAYS PRECEDING
+                AND INTERVAL 1 DAY PRECEDING) AS a FROM d)
         SELECT order_date, n, round(a, 4) AS trailing_avg,
                a IS NULL OR (n >= a * 0.5 AND n <= a * 1.5) AS passed FROM w""",
     "gate_distribution": """WITH r AS (SELECT event_type, count(*) / sum(count(*)) OVER () AS share FROM events

@@ -49,10 +49,20 @@ def _code_fingerprint() -> str:
     return h.hexdigest()[:12]
 
 
+def _input_stamp(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and modification times of the source files: tables written anew never
+    meet a lake of the old ones."""
+    found = []
+    for name in ("orders", "customer", "nation"):
+        fs, p = files._fs(spark, "%s/%s.parquet" % (sf_dir, name))
+        found += sorted((st.getPath().getName(), st.getLen(), st.getModificationTime()) for st in fs.listStatus(p))
+    return repr(found)
+
+
 def _pointer_path(spark: SparkSession, sf_dir: str, grain: str) -> str:
     import hashlib
     from tidemark.session import checkpoint_root
-    tag = hashlib.sha1(("%s|%s|%s" % (sf_dir, grain, _code_fingerprint())).encode()).hexdigest()[:16]
+    tag = hashlib.sha1(("%s|%s|%s|%s" % (sf_dir, grain, _code_fingerprint(), _input_stamp(spark, sf_dir))).encode()).hexdigest()[:16]
     return "%s/tidemark/_lakes/%s.json" % (checkpoint_root(spark), tag)
 
 
@@ -86,7 +96,7 @@ def build_lake(spark: SparkSession, sf_dir: str, grain: str = "month") -> tuple[
     Reused within a session (memo) and across sessions through a small pointer file
     in the shared checkpoint folder, written only after the build completed."""
     ensure_conf(spark)
-    key = (spark.sparkContext.applicationId, sf_dir, grain)
+    key = (spark.sparkContext.applicationId, sf_dir, grain, _input_stamp(spark, sf_dir))
     with _LOCK:
         if key in _BUILT and files.path_exists(spark, _BUILT[key][0].gold):
             return _BUILT[key]

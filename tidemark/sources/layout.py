@@ -24,10 +24,10 @@ class MissingPartitionFilter(ValueError):
 
 
 def write_partitioned(df: DataFrame, path: str, part_col: str, part_expr: Column | None = None) -> str:
-    """Partition by a (derived) column; rows are hashed on it so each partition
-    is written by few tasks (no small-file explosion)."""
+    """Partition by a (derived) column. Rows are rebalanced on it: adaptive execution
+    joins small partitions in one task and splits a hot one by measured bytes."""
     d = df.withColumn(part_col, part_expr) if part_expr is not None else df
-    d.repartition(part_col).write.mode("overwrite").partitionBy(part_col).parquet(path)
+    d.hint("rebalance", F.col(part_col)).write.mode("overwrite").partitionBy(part_col).parquet(path)
     return path
 
 
@@ -47,10 +47,19 @@ def write_partitioned_clustered(df: DataFrame, path: str, part_col: str, part_ex
 
 
 def guarded_read(spark: SparkSession, root: str, part_col: str, predicate: str) -> DataFrame:
-    """A read of a partitioned table must carry a filter on its partition column."""
-    if not predicate or not re.search(r"\b%s\b" % re.escape(part_col), predicate):
+    """A read of a partitioned table must prune on its partition column.
+
+    The plan decides, not the wording: a predicate that names the column but folds away
+    (``m = m OR 1 = 1``) or only excludes nulls reads every partition and is refused."""
+    if not predicate:
         raise MissingPartitionFilter("a filter on partition column %s is required" % part_col)
-    return files.external_parquet(spark, root).filter(F.expr(predicate))
+    df = files.external_parquet(spark, root).filter(F.expr(predicate))
+    text = plan_text(df)
+    found = re.search(r"PartitionFilters: \[(.*)\]", text)
+    left = re.sub(r"isnotnull\([^()]*\)", "", found.group(1)) if found else ""
+    if "Scan parquet" in text and not re.search(r"\b%s#" % re.escape(part_col), left):
+        raise MissingPartitionFilter("%r prunes nothing on partition column %s" % (predicate, part_col))
+    return df
 
 
 def partition_stats(spark: SparkSession, root: str, col: str) -> DataFrame:
