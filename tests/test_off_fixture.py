@@ -89,3 +89,15 @@ def test_bucket_counts_of_many_partitions(spark):
     counts = {str(dt.date(2020, 1, 1) + dt.timedelta(days=k)): 10 for k in range(500)}
     out = files.bucketed_by_counts(df, "d", counts, rows_per_file=4)
     assert out.columns == df.columns and out.exceptAll(df).isEmpty() and out.count() == 5000
+
+
+def test_bounded_stream_closes_its_last_windows(spark):
+    src = scratch_dir(spark, "bounded") + "/in"
+    at = [dt.datetime(2026, 1, 1, 10, 5), dt.datetime(2026, 1, 1, 10, 50), dt.datetime(2026, 1, 1, 11, 59)]
+    for t in at:                                   # one file, so one micro-batch, per row
+        spark.createDataFrame([(t, "a")], "t timestamp_ntz, k string").write.mode("append").parquet(src)
+    stream = spark.readStream.schema("t timestamp_ntz, k string").option("maxFilesPerTrigger", 1).parquet(src)
+    root = windows.run_to_end(spark, stream, lambda s: windows.windowed_counts(s, "t", "1 hour", ["k"], "2 hours"),
+                              "t", "bounded")
+    got = sorted((r["window_start"].hour, r["k"], r["n"]) for r in spark.read.parquet(root + "/out").collect())
+    assert got == [(10, "a", 2), (11, "a", 1)]

@@ -59,16 +59,18 @@ def win_session(spark, sf_dir):
 def stream_watermark_counts(spark, sf_dir):
     """Watermarked 1-hour counts (10 min lateness), append mode, run to end."""
     ensure_conf(spark)
-    q = windows.windowed_counts(_event_stream(spark, sf_dir), "ts", "1 hour", ["event_type"], "10 minutes")
-    root = windows.run_available(spark, q, "wm-counts")
+    root = windows.run_to_end(
+        spark, _event_stream(spark, sf_dir),
+        lambda s: windows.windowed_counts(s, "ts", "1 hour", ["event_type"], "10 minutes"), "ts", "wm-counts")
     return spark.read.parquet(root + "/out")
 
 
 def stream_sessions(spark, sf_dir):
-    """Streaming 6-hour-gap sessions per user with a 1-hour watermark."""
+    """Streaming 6-hour-gap sessions per user with a 1-hour watermark, run to end."""
     ensure_conf(spark)
-    q = windows.session_counts(_event_stream(spark, sf_dir), "ts", "6 hours", ["user_id"], "1 hour")
-    root = windows.run_available(spark, q, "sessions")
+    root = windows.run_to_end(
+        spark, _event_stream(spark, sf_dir),
+        lambda s: windows.session_counts(s, "ts", "6 hours", ["user_id"], "1 hour"), "ts", "sessions")
     return spark.read.parquet(root + "/out")
 
 
@@ -248,10 +250,8 @@ ORACLE = {
     "win_session": _SESS + "SELECT window_start, window_end, user_id, n FROM w",
     "stream_watermark_counts": """SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
         time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS n
-        FROM events GROUP BY 1, 2, 3
-        HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
-    "stream_sessions": _SESS + """SELECT window_start, window_end, user_id, n FROM w
-        WHERE window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
+        FROM events GROUP BY 1, 2, 3""",
+    "stream_sessions": _SESS + "SELECT window_start, window_end, user_id, n FROM w",
     "stream_dedup": "SELECT event_id, ts, user_id, event_type FROM events",
     "land_messages": """SELECT 'events-sub' AS subscription_name, CAST(event_id AS VARCHAR) AS message_id,
         ts AS publish_time, props AS data, '{"kind":"' || event_type || '"}' AS attributes FROM events""",

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_dir
+from tidemark.sources import files
 
 
 def with_event_time(df: DataFrame, col: str, out: str = "event_time", lateness: str | None = None) -> DataFrame:
@@ -91,12 +92,13 @@ def _interval_seconds(text: str) -> int:
 
 
 def run_available(spark: SparkSession, stream: DataFrame, name: str, output_mode: str = "append",
-                  fmt: str = "parquet", foreach_batch=None) -> str:
+                  fmt: str = "parquet", foreach_batch=None, root: str | None = None) -> str:
     """Run a streaming query over what is available now and stop by itself.
 
     Sink and checkpoint live under the shared checkpoint root, so a restarted job
-    resumes from its last committed micro-batch (executors may be lost any time)."""
-    root = scratch_dir(spark, "stream-" + name)
+    resumes from its last committed micro-batch (executors may be lost any time). ``root``
+    is the result of an earlier call, to go on from where that one ended."""
+    root = root or scratch_dir(spark, "stream-" + name)
     w = stream.writeStream.option("checkpointLocation", root + "/_checkpoint").outputMode(output_mode)
     if foreach_batch is not None:
         w = w.foreachBatch(foreach_batch)
@@ -109,6 +111,31 @@ def run_available(spark: SparkSession, stream: DataFrame, name: str, output_mode
     return root
 
 
+# Event time of the row that ends a bounded stream: later than any window to be closed.
+END_OF_STREAM = "9999-12-01 00:00:00"
+
+
+def run_to_end(spark: SparkSession, stream: DataFrame, build, ts: str, name: str) -> str:
+    """T18 for a bounded input: run ``build(stream)`` over what is available, then close every
+    window that is still open.
+
+    Append mode emits a window once the watermark passes it, so the last windows of a
+    bounded stream would stay in state. A second source, empty at first, is joined to
+    the stream; when all input is processed one row with nothing but an event time at
+    the end of time lands there and the query goes on from its checkpoint: the watermark
+    passes every real window, the row's own window is never emitted. The row comes last
+    whatever the size of the micro-batches, so it makes no input late. ``build`` must not
+    filter the row before its watermark; an empty input gives an empty sink."""
+    end = scratch_dir(spark, "end-" + name) + "/rows"
+    files.make_dir(spark, end)
+    query = build(stream.unionByName(spark.readStream.schema(stream.schema).parquet(end)))
+    root = run_available(spark, query, name)
+    at = F.lit(END_OF_STREAM).cast("timestamp")
+    last = [(at if f.name == ts else F.lit(None)).cast(f.dataType).alias(f.name) for f in stream.schema]
+    spark.range(1).select(*last).write.mode("append").parquet(end)
+    return run_available(spark, query, name, root=root)
+
+
 def windowed_counts(stream: DataFrame, ts: str, size: str, keys: list[str], lateness: str) -> DataFrame:
     """Watermarked tumbling counts; in append mode a window is emitted once the
     watermark (max event time - lateness) passes its end, and later rows for it drop."""
