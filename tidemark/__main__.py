@@ -56,6 +56,7 @@ def main(argv=None) -> int:
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
+    from tidemark.operators.gates import GateFailed
     from tidemark.plans import generate, medallion
     from tidemark.plans.lakebuild import write_bronze
     lake = medallion.Lake(args.lake.rstrip("/"), grain=args.grain, gold_grain=args.grain)
@@ -85,7 +86,7 @@ def main(argv=None) -> int:
             out = summary.first().asDict()
         print("METRICS " + json.dumps(out, default=str))
         return 0
-    except (medallion.BreakerTripped, medallion.GoldAssertionFailed, FileNotFoundError) as e:
+    except (medallion.BreakerTripped, medallion.GoldAssertionFailed, GateFailed, FileNotFoundError) as e:
         print("FAILED " + str(e), file=sys.stderr)
         return 2
     finally:
