@@ -184,6 +184,29 @@ def test_pseudonyms_keep_format_and_links(spark):
     assert [out[k]["text"] for k in (2, 3, 4, 5)] == [rows[2][1], None, "", rows[5][1]]
 
 
+def test_grouped_cards_link_to_ungrouped_ones(spark):
+    card = "4111111111111111"
+    texts = ["pay 4111 1111 1111 1111 now", "pay 4111-1111-1111-1111 now", "pay (4111 1111 1111 1111) now", "pay %s now" % card,
+             "pay 4111 1111 1111 1111 123 now", "tel +1 555 123 4567, 4111 1111 1111 1111 10.0.0.1",
+             "call (555) 123-4567 4111-1111-1111-1111 2024-02-29", "amex 3782 822463 10005 or 378282246310005"]
+    no_card = ["of 4111 1111 1111 1112 x", "call 555-123-4567 2024 x", "run %s x" % ("9" * 4000), "run %s x" % ("1 " * 4000)]
+    rows = [(k, t, "x") for k, t in enumerate(texts + no_card)]
+    out = [r["private"] for r in sorted(pii.pseudonymise(spark.createDataFrame(rows, DOC)).collect())]
+    new = re.search(r"\d{16}", out[3]["text"]).group()
+    assert new != card and sum(map(int, new[1::2] + "".join(str(2 * int(c) // 10 + 2 * int(c) % 10) for c in new[::2]))) % 10 == 0
+    fours = [new[k:k + 4] for k in range(0, 16, 4)]
+    assert [out[k]["text"] for k in (0, 1, 2, 4)] == [
+        "pay %s now" % " ".join(fours), "pay %s now" % "-".join(fours), "pay (%s) now" % " ".join(fours),
+        "pay %s 123 now" % " ".join(fours)]
+    assert " ".join(fours) in out[5]["text"] and "-".join(fours) in out[6]["text"]
+    assert [o["found"] for o in out[:8]] == [["card"]] * 5 + [["phone", "card", "ipv4"], ["phone", "card", "date"], ["card", "card"]]
+    a, b = re.fullmatch(r"amex ([\d ]+) or (\d+)", out[7]["text"]).groups()
+    assert a.replace(" ", "") == b != "378282246310005"
+    assert [o["found"] for o in out[8:]] == [["phone"], ["phone"], [], []]
+    assert re.fullmatch(r"call \d{3}-\d{3}-\d{4} 2024 x", out[9]["text"]) and "123-4567" not in out[9]["text"]
+    assert [o["text"] for o in out[10:]] == no_card[2:]
+
+
 def test_digit_permutation_is_one_to_one(spark):
     df = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("s"))
     out = df.select(pii.permute_string(F.col("s"), 10, F.lit("k"), "t").alias("p"))

@@ -8,6 +8,10 @@ pseudonyms, in every document, and different values to different ones. Cards kee
 dates stay dates (within their 73,000-day era), separators stay where they are. Matches that fail
 validation stay as they are.
 
+Digit groups with single blanks or hyphens, 13 digits or more, are read as one run: Luhn-valid cards
+in it come first, in the groups that cards are written in or as the whole run; what is left of it,
+or all of it if there is no card, is searched for phone numbers.
+
 DataFrame functions only: the text is split at the matches, the matches are mapped by
 higher-order functions, and both are joined again. No shuffle.
 
@@ -26,11 +30,19 @@ IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])"
 DATE = (r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})"
         r"(?![0-9])")
 SSN = r"(?<![0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])"
-PHONE = (r"(?<![0-9+])(?:\+[0-9]{1,3}[ .\-]?)?(?:\([0-9]{2,4}\)[ .\-]?|(?<=[ .\-])[0-9]{2,4}[ .\-])"
-         r"[0-9]{3,4}[ .\-][0-9]{3,4}(?![0-9])")
-CARD = r"(?<![0-9])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9])"
-KINDS = (("email", EMAIL), ("ipv4", IPV4), ("date", DATE), ("ssn", SSN), ("phone", PHONE), ("card", CARD))
-ANY = "|".join("(?:%s)" % p for _, p in KINDS)
+PLUS = (r"(?<![0-9+])\+[0-9]{1,3}[ .\-]?(?:\([0-9]{2,4}\)[ .\-]?|(?<=[ .\-])[0-9]{2,4}[ .\-])"
+        r"[0-9]{3,4}[ .\-][0-9]{3,4}(?![0-9])")
+LOCAL = (r"(?<![0-9+])(?:\([0-9]{2,4}\)[ .\-]?|[0-9]{2,4}[ .\-])[0-9]{3,4}[ .\-][0-9]{3,4}(?![0-9])")
+PHONE = "(?:%s)|(?:%s)" % (PLUS, LOCAL)
+#: Digit groups, 13 digits at least, up to a date, address or social-security number; a letter before stays as context.
+STOP = (r"(?!(?:[0-9]{1,3}\.){3}[0-9]|[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9])|[0-9]{2}[./][0-9]{2}[./][0-9]{4}(?![0-9])"
+        r"|[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]))")
+RUN = (r"[A-Za-z]?(?<![0-9])%s(?=[0-9](?:[ \-]?[0-9]){12})[0-9]++(?:(?: (?![A-Za-z0-9._%%+\-]*+@)|-)%s[0-9]++)*+"
+       % (STOP, STOP))
+#: How cards are grouped: these are found in longer runs as well (an expiry or check number may follow).
+CARD = (r"^(?:[0-9]{13,19}|[0-9]{4}(?:[ \-][0-9]{4}){2}[ \-][0-9]{1,4}|[0-9]{4}(?:[ \-][0-9]{4}){3}[ \-][0-9]{1,3}"
+        r"|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{4,5}|[0-9]{8}[ \-][0-9]{8}|[0-9]{6}[ \-][0-9]{13})$")
+ANY = "|".join("(?:%s)" % p for p in (EMAIL, IPV4, DATE, SSN, PLUS, RUN, LOCAL.replace(r"|[0-9]", r"|(?<=[ .\-])[0-9]")))
 ROUNDS, ERA = 8, 73_000
 
 
@@ -156,20 +168,79 @@ def _email(m: Column, key: Column) -> Column:
     return F.concat(_via(F.substring_index(m, "@", 1), new), F.lit("@"), F.substring_index(m, "@", -1))
 
 
-def _replace(m: Column, key: Column) -> Column:
-    """struct(kind, value): the pseudonym of a match; kind NULL and the match itself if it fails validation."""
-    made = F.lit(None).cast("struct<kind:string,value:string>")
-    for kind, (pattern, fn) in reversed(list(zip((k for k, _ in KINDS), (
-            (EMAIL, _email), (IPV4, _ipv4), (DATE, _date), (SSN, _ssn), (PHONE, _phone), (CARD, _card))))):
-        shape = m.rlike("^(?:%s)$" % _unanchored(pattern))
-        made = F.when(shape, F.struct(F.lit(kind).alias("kind"), fn(m, key).alias("value"))).otherwise(made)
-    return _via(made, lambda r: F.struct(F.when(r["value"].isNotNull(), r["kind"]).alias("kind"),
-                                         F.coalesce(r["value"], m).alias("value")))
+def _cards(tokens: Column) -> Column:
+    """Where Luhn-valid cards in a card's usual groups stand among a run's groups: array of (at, size)."""
+    def found(i):
+        def sound(k):
+            card = lambda w: w.rlike(CARD) & (luhn_sum(_digits(w)) % 10 == 0)
+            text = F.regexp_replace(F.array_join(F.slice(tokens, i + 1, F.lit(k)), ""), "^[^0-9]", "")
+            return (i + k <= F.size(tokens)) & _via(text, card)
+        size = F.lit(None).cast("int")
+        for k in (2, 5, 3, 1, 4):                               # sixteen digits in fours come first
+            size = F.when(sound(k), F.lit(k)).otherwise(size)
+        return F.struct(i.alias("at"), size.alias("size"))
+
+    def apart(acc, x):
+        last = F.get(acc, F.size(acc) - 1)
+        return F.when(F.coalesce(last["at"] + last["size"], F.lit(0)) <= x["at"], F.concat(acc, F.array(x))).otherwise(acc)
+    sound = F.filter(F.transform(F.sequence(F.lit(0), F.size(tokens) - 1), found), lambda x: x["size"].isNotNull())
+    return F.aggregate(sound, F.array().cast("array<struct<at:int,size:int>>"), apart)
+
+
+def _phones(s: Column, key: Column) -> Column:
+    """struct(kinds, value): the phone numbers in ``s`` replaced."""
+    made = F.transform(F.regexp_extract_all(s, F.lit(PHONE), F.lit(0)), lambda m: F.struct(
+        m.alias("old"), _phone(m, key).alias("new")))
+    join = lambda p, r: F.concat(p, F.coalesce(r["new"], r["old"], F.lit("")))
+    return _via(made, lambda a: F.struct(
+        F.transform(F.filter(a, lambda r: r["new"].isNotNull()), lambda r: F.lit("phone")).alias("kinds"),
+        F.array_join(F.zip_with(F.split(s, PHONE, -1), a, join), "").alias("value")))
+
+
+def _numbers(m: Column, key: Column) -> Column:
+    """struct(kinds, value): the cards of a run of digit groups, and the phone numbers in what is
+    left. A whole run that is Luhn-valid is a card in any grouping, unless it mixes blanks and
+    hyphens and a phone number is found in it (a phone number and a number after it)."""
+    d = _digits(m)
+    run = m.rlike("^[A-Za-z]?[0-9]") & (F.length(d) >= 13)
+    whole = ((F.length(d) <= 19) & (luhn_sum(d) % 10 == 0)
+             & (~(m.contains(" ") & m.contains("-")) | ~m.rlike(PHONE)))
+
+    def cut(tokens):
+        text = lambda lo, n: F.array_join(F.slice(tokens, lo + 1, n), "")
+
+        def pieces(cards):
+            def piece(j):
+                lo = F.when(j == 0, F.lit(0)).otherwise(F.get(cards, j - 1)["at"] + F.get(cards, j - 1)["size"])
+                at, size = F.get(cards, j)["at"], F.get(cards, j)["size"]
+                before = F.regexp_extract(F.coalesce(F.get(tokens, at), F.lit("")), "^[^0-9]?", 0)
+                left = text(lo, F.coalesce(at, F.size(tokens)) - lo)
+                return F.array(F.struct(F.lit(False).alias("card"), F.concat(left, before).alias("s")),
+                               F.struct(F.lit(True).alias("card"), F.coalesce(F.regexp_replace(
+                                   text(at, size), "^[^0-9]", ""), F.lit("")).alias("s")))
+            return F.flatten(F.transform(F.sequence(F.lit(0), F.size(cards)), piece))
+        usual = lambda c: F.when((F.size(c) == 0) & whole, F.array(F.struct(
+            F.lit(0).alias("at"), F.size(tokens).alias("size")))).otherwise(c)
+        return _via(_via(_cards(tokens), usual), pieces)
+
+    plain = F.array(F.struct(F.lit(False).alias("card"), m.alias("s")))
+    parts = F.when(run, _via(F.regexp_extract_all(m, F.lit("[^0-9]?[0-9]+"), F.lit(0)), cut)).otherwise(plain)
+    made = F.transform(F.filter(parts, lambda p: p["s"] != ""), lambda p: F.when(p["card"], F.struct(
+        F.array(F.lit("card")).alias("kinds"), _card(p["s"], key).alias("value"))).otherwise(_phones(p["s"], key)))
+    return _via(made, lambda a: F.struct(F.flatten(F.transform(a, lambda r: r["kinds"])).alias("kinds"),
+                                         F.array_join(F.transform(a, lambda r: r["value"]), "").alias("value")))
 
 
-def _unanchored(pattern: str) -> str:
-    """The pattern for a match seen by itself: what it required of the character before goes."""
-    return pattern.replace(r"|(?<=[ .\-])[0-9]{2,4}[ .\-]", r"|[0-9]{2,4}[ .\-]")
+def _replace(m: Column, key: Column) -> Column:
+    """struct(kinds, value): the pseudonym of a match; no kinds and the match itself if it fails validation."""
+    def one(kind, value):
+        none = F.array().cast("array<string>")
+        return _via(value, lambda v: F.struct(F.when(v.isNotNull(), F.array(F.lit(kind))).otherwise(none).alias("kinds"),
+                                              F.coalesce(v, m).alias("value")))
+    made = _numbers(m, key)
+    for kind, pattern, fn in (("ssn", SSN, _ssn), ("date", DATE, _date), ("ipv4", IPV4, _ipv4), ("email", EMAIL, _email)):
+        made = F.when(m.rlike("^(?:%s)$" % pattern), one(kind, fn(m, key))).otherwise(made)
+    return made
 
 
 def pseudonymise(docs: DataFrame, key: str = "change-me", text_col: str = "text", into: str = "private") -> DataFrame:
@@ -182,5 +253,5 @@ def pseudonymise(docs: DataFrame, key: str = "change-me", text_col: str = "text"
     none = F.array().cast("array<string>")
     out = F.when(t.rlike("[0-9@]"), _via(made, lambda m: F.struct(
         F.when(F.size(m) > 0, F.array_join(F.zip_with(parts, m, join), "")).otherwise(t).alias("text"),
-        F.filter(F.transform(m, lambda r: r["kind"]), lambda x: x.isNotNull()).alias("found"))))
+        F.flatten(F.transform(m, lambda r: r["kinds"])).alias("found"))))
     return docs.withColumn(into, F.coalesce(out, F.struct(t.alias("text"), none.alias("found"))))
