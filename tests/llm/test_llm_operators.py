@@ -207,6 +207,24 @@ def test_grouped_cards_link_to_ungrouped_ones(spark):
     assert [o["text"] for o in out[10:]] == no_card[2:]
 
 
+def test_phone_numbers_in_every_context(spark):
+    plain = "555-123-4567"
+    around = [("", " call"), ("tel:", ""), ("a\n", "\n"), ("\t", "\t"), ("(", ")"), ("[", "]"), ('"', '"'), ("call ", "."),
+              ("no.", ""), ("x=", ";")]
+    rows = [(k, a + plain + b, "x") for k, (a, b) in enumerate(around)]
+    rows += [(20, "+15551234567", "x"), (21, "or +1 555 123 4567", "x"), (22, "+49 30 1234567", "x"), (23, "(+493012345678)", "x"),
+             (24, "+33 1 23 45 67 89.", "x")]
+    kept = [(30, "x555-123-4567", "x"), (31, "+1234567", "x"), (32, "+1234567890123456", "x"), (33, "1 + 12345678", "x")]
+    out = {r["doc_id"]: r["private"] for r in pii.pseudonymise(spark.createDataFrame(rows + kept, DOC)).collect()}
+    new = out[0]["text"][:12]
+    assert re.fullmatch(r"\d{3}-\d{3}-\d{4}", new) and new != plain
+    assert [out[k]["text"] for k in range(len(around))] == [a + new + b for a, b in around]
+    assert all(out[k]["found"] == ["phone"] for k, _, _ in rows)
+    assert re.sub(r"\D", "", out[21]["text"]) == out[20]["text"][1:] != "15551234567"
+    assert all(re.sub(r"\d", "0", out[k]["text"]) == re.sub(r"\d", "0", t) and out[k]["text"] != t for k, t, _ in rows)
+    assert [out[k]["text"] for k, _, _ in kept] == [t for _, t, _ in kept]
+
+
 def test_digit_permutation_is_one_to_one(spark):
     df = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("s"))
     out = df.select(pii.permute_string(F.col("s"), 10, F.lit("k"), "t").alias("p"))

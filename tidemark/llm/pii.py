@@ -10,7 +10,10 @@ validation stay as they are.
 
 Digit groups with single blanks or hyphens, 13 digits or more, are read as one run: Luhn-valid cards
 in it come first, in the groups that cards are written in or as the whole run; what is left of it,
-or all of it if there is no card, is searched for phone numbers.
+or all of it if there is no card, is searched for phone numbers. Those have 8 to 15 digits after a
+plus sign, in groups or not, or an area code (in brackets or not) and two groups, with any
+character but a letter, digit or plus sign before them. National numbers without a separator or
+in two groups without brackets can't be told from other numbers and stay.
 
 DataFrame functions only: the text is split at the matches, the matches are mapped by
 higher-order functions, and both are joined again. No shuffle.
@@ -30,9 +33,10 @@ IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])"
 DATE = (r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})"
         r"(?![0-9])")
 SSN = r"(?<![0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])"
-PLUS = (r"(?<![0-9+])\+[0-9]{1,3}[ .\-]?(?:\([0-9]{2,4}\)[ .\-]?|(?<=[ .\-])[0-9]{2,4}[ .\-])"
-        r"[0-9]{3,4}[ .\-][0-9]{3,4}(?![0-9])")
-LOCAL = (r"(?<![0-9+])(?:\([0-9]{2,4}\)[ .\-]?|[0-9]{2,4}[ .\-])[0-9]{3,4}[ .\-][0-9]{3,4}(?![0-9])")
+PLUS = (r"(?<![0-9+])\+(?:[0-9]{1,3}[ .\-]?(?:\([0-9]{2,4}\)[ .\-]?|[0-9]{2,4}[ .\-])[0-9]{3,4}[ .\-][0-9]{3,4}"
+        r"|[0-9]{1,3}[ .\-][0-9]{2,5}[ .\-][0-9]{6,8}|[0-9](?:[ .\-]?[0-9]){7,14})(?![0-9])")
+LOCAL = (r"(?:(?<![0-9+])\([0-9]{2,4}\)[ .\-]?|(?<![A-Za-z0-9+])[0-9]{2,4}[ .\-])"
+         r"[0-9]{3,4}[ .\-][0-9]{3,4}(?![0-9])")
 PHONE = "(?:%s)|(?:%s)" % (PLUS, LOCAL)
 #: Digit groups, 13 digits at least, up to a date, address or social-security number; a letter before stays as context.
 STOP = (r"(?!(?:[0-9]{1,3}\.){3}[0-9]|[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9])|[0-9]{2}[./][0-9]{2}[./][0-9]{4}(?![0-9])"
@@ -42,7 +46,7 @@ RUN = (r"[A-Za-z]?(?<![0-9])%s(?=[0-9](?:[ \-]?[0-9]){12})[0-9]++(?:(?: (?![A-Za
 #: How cards are grouped: these are found in longer runs as well (an expiry or check number may follow).
 CARD = (r"^(?:[0-9]{13,19}|[0-9]{4}(?:[ \-][0-9]{4}){2}[ \-][0-9]{1,4}|[0-9]{4}(?:[ \-][0-9]{4}){3}[ \-][0-9]{1,3}"
         r"|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{4,5}|[0-9]{8}[ \-][0-9]{8}|[0-9]{6}[ \-][0-9]{13})$")
-ANY = "|".join("(?:%s)" % p for p in (EMAIL, IPV4, DATE, SSN, PLUS, RUN, LOCAL.replace(r"|[0-9]", r"|(?<=[ .\-])[0-9]")))
+ANY = "|".join("(?:%s)" % p for p in (EMAIL, IPV4, DATE, SSN, PLUS, RUN, LOCAL))
 ROUNDS, ERA = 8, 73_000
 
 
