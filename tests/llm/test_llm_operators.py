@@ -109,6 +109,33 @@ def test_section_tokens_add_up(spark, rule):
         assert abs(sum(x["n_tokens"] for x in s) - len(t.encode(text, add_special_tokens=False).ids)) < 1e-9
 
 
+def test_added_tokens_have_the_ids_of_the_tokenizers_file(spark):
+    from tokenizers import Tokenizer
+    import public_tokenizers
+    from tidemark.llm import bpe
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mark = "<|endoftext|>"
+    texts = ["a%sb" % mark, mark, mark * 3, "a %s\n\n %s b\n" % (mark, mark), "é%sé <|endoftext|" % mark, "x" + mark[:-1], mark + "\n" + mark,
+             "\n%s  \n" % mark + "word " * 90 + mark]
+    encode, sizes = bpe.encoder(bpe.default_ranks())
+    for x in texts:
+        ids = t.encode(x, add_special_tokens=False).ids
+        assert encode(x) == ids and sizes[np.array(ids)].sum() == len(x.encode())
+    df = spark.createDataFrame([(k, x, "x") for k, x in enumerate(texts)], DOC)
+    pieces = {}
+    for r in packing.pack(df, window=64).collect():
+        pieces.setdefault(r["doc_id"], []).append(r)
+    for k, x in enumerate(texts):
+        ids = t.encode(x, add_special_tokens=False).ids + [0]
+        assert sum(r["length"] for r in pieces[k]) == len(ids)
+        for r in pieces[k]:
+            part = ids[r["start"]:r["start"] + r["length"]]
+            assert r["doc_tokens"] == len(ids) and r["ids_crc32"] == zlib.crc32(np.array(part, "<u4").tobytes())
+    for rule in tokencount.RULES:
+        for r in tokencount.section_tokens(df, rule=rule).collect():
+            assert abs(sum(s["n_tokens"] for s in r["sections"]) - len(t.encode(r["text"], add_special_tokens=False).ids)) < 1e-9
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(3)
     vecs = [(k, [float(x) for x in rng.normal(0, 0.2, 8)]) for k in range(120)]

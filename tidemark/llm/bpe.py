@@ -1,13 +1,16 @@
 """Byte-level BPE encoding inside tasks.
 
 Encodes with a public vocabulary file of merge ranks; the ids equal those of the
-``tokenizers`` file of the same vocabulary (tests compare the two). Special-token
-strings inside a text are ordinary text.
+``tokenizers`` file of the same vocabulary (tests compare the two). The added tokens of that
+file (the .json beside the ranks) are split off first wherever their string stands in a
+text, and have its ids.
 """
 
 from __future__ import annotations
 
 import base64
+import json
+import os
 
 _ENCODERS: dict = {}
 
@@ -17,6 +20,20 @@ def default_ranks() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens(ranks_path: str) -> dict[str, int]:
+    """The tokens that the vocabulary's ``tokenizers`` file adds to the merges: text to id. None
+    without such a file."""
+    path = os.path.splitext(ranks_path)[0] + ".json"
+    if not os.path.exists(path):
+        return {}
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    odd = [t["content"] for t in added if t["single_word"] or t["lstrip"] or t["rstrip"]]
+    if odd:
+        raise ValueError("added tokens that take blanks or whole words only: %s" % odd)
+    return {t["content"]: t["id"] for t in added}
+
+
 def encoder(ranks_path: str):
     """One encoder per Python worker and file: (encode function, byte length of each id)."""
     if ranks_path not in _ENCODERS:
@@ -25,9 +42,15 @@ def encoder(ranks_path: str):
         import tiktoken
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        e = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        sizes = np.zeros(max(ranks.values()) + 1, np.int32)
-        for piece, i in ranks.items():
+        added = added_tokens(ranks_path)
+        e = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+        sizes = np.zeros(max([*ranks.values(), *added.values()]) + 1, np.int32)
+        for piece, i in [*ranks.items(), *((t.encode(), i) for t, i in added.items())]:
             sizes[i] = len(piece)
-        _ENCODERS[ranks_path] = (e.encode_ordinary, sizes)
+
+        def encode(text: str) -> list[int]:
+            if any(t in text for t in added):
+                return e.encode(text, allowed_special="all")
+            return e.encode_ordinary(text)
+        _ENCODERS[ranks_path] = (encode, sizes)
     return _ENCODERS[ranks_path]
