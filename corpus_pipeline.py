@@ -60,7 +60,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates),
           ("decontamination", decontamination), ("personal_data", personal_data), ("packing", pack_sequences)]
 
-#: SQL can't express the learned and tokenising stages; tests compare with brute force.
+#: SQL can't express the learned and tokenising stages; no test compares run() or its stages with brute force yet.
 ORACLE_SQL = None
 
 
