@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import (common, decontam, langid, ngram_join, packing, pii, suffix_dedup, tokencount, topk, toxicity, warc)
+from tidemark.llm import (centroids, decontam, filter_audit, langid, ngram_join, packing, pii, sharding, suffix_dedup, tokencount, topk,
+                          toxicity, warc)
+from tidemark.llm import audit_sql, centroid_sql
 from tidemark.llm.common import held_out, in_training_fold, scratch_path, table
 from tidemark.session import ensure_conf
 
@@ -85,7 +87,28 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         decontam.contaminated(h).alias("contaminated"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit.audit(filter_audit.mask_counts(filter_audit.masks(docs), table(spark, sf_dir, "labels")))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = centroids.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256.0, salt="2:")
+    digest = F.sha2(F.array_join(F.transform("centroid", lambda c: c.cast("string")), ","), 256)
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).cast("long").alias("text_crc32"))
+    out = sharding.shuffle_into_shards(docs, shards=24)
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {f.__name__: f for f in (op1_warc, op2_ngram_join, op3_suffix_dedup, op4_toxicity, op5_packing, op6_language_id, op7_top_k, op8_pii,
-                                   op9_token_counts, op10_decontamination)}
+                                   op9_token_counts, op10_decontamination, op11_filter_audit, op12_centroids,
+                                   op13_sharding)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_filter_audit": audit_sql.SQL, "op12_centroids": centroid_sql.SQL}

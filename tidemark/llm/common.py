@@ -28,6 +28,19 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(names, taken, suffix: str) -> list[str]:
+    """``names`` with ``suffix`` put, as often as needed, to those that are in ``taken``
+    (letter case aside), so that no two are alike."""
+    used, out = {t.lower() for t in taken} | {n.lower() for n in names if n.lower() not in {t.lower() for t in taken}}, []
+    for name in names:
+        if name.lower() in {t.lower() for t in taken}:
+            while name.lower() in used:
+                name += suffix
+            used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def arrow_scan(fn, kind, arguments: int = 1):
     """``fn`` (an iterator of Arrow arrays, or tuples of them, to an iterator of Arrow arrays)
     as a column function: only its arguments go to Python, every other column passes by. Marked
