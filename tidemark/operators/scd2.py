@@ -1,9 +1,8 @@
 """Versioned (SCD type 2) dimensions.
 
-``scd2_merge`` does in one shuffle what the reference does with a MERGE over a
-self-union: the current rows are full-outer-joined with the staging batch on the
-key, each joined row emits an array of 0-2 output versions (keep / expire / insert),
-and ``explode`` flattens it. Closed history never moves (no shuffle, plain union).
+First load, change detection, as-of reads and the tier reports; batches are merged by
+``operators.history`` (any key, any attributes, late batches) and the tier view is kept by
+``operators.views``.
 
 Rules: the change hash is null-safe (D9); surrogate keys are md5(key, valid_from),
 so re-applying a batch is a no-op; keys missing from the batch stay current unless
@@ -12,15 +11,14 @@ so re-applying a batch is a no-op; keys missing from the batch stay current unle
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import row_hash, surrogate_key
+from tidemark.operators import history
+from tidemark.operators.history import OPEN_END, Dimension
+from tidemark.operators.views import View
 
-OPEN_END = dt.date(9999, 12, 31)
-DIM_COLS = ["sk", "customer_id", "name", "city", "tier", "row_hash", "valid_from", "valid_to", "is_current"]
 
 # Tier ranking of the customer dimension.
 TIER_RANKS = [("PLATINUM", 4), ("GOLD", 3), ("SILVER", 2)]
@@ -47,35 +45,10 @@ def detect_changes(staging: DataFrame, dim: DataFrame, key: str, attrs: list[str
     return inserts, expires
 
 
-def scd2_merge(dim: DataFrame, staging: DataFrame, key: str, attrs: list[str], effective,
+def scd2_merge(dim: DataFrame, staging: DataFrame, key, attrs: list[str], effective,
                close_missing: bool = False) -> DataFrame:
-    """M4: expire changed current versions and insert new ones, in one full outer join."""
-    eff = F.lit(effective).cast("date")
-    history = dim.filter(~F.col("is_current"))
-    cur = dim.filter(F.col("is_current"))
-    s = staging.select(F.col(key).alias("_k"), *[F.col(a).alias("_s_" + a) for a in attrs],
-                       row_hash(*attrs).alias("_h"))
-    j = cur.join(s, cur[key] == s["_k"], "full")
-
-    def version(k: Column, vals: list[Column], h: Column, vfrom: Column, vto: Column, current: Column) -> Column:
-        return F.struct(surrogate_key(k, vfrom).alias("sk"), k.alias(key),
-                        *[v.alias(a) for v, a in zip(vals, attrs)], h.alias("row_hash"),
-                        vfrom.alias("valid_from"), vto.alias("valid_to"), current.alias("is_current"))
-
-    existing = F.struct(*[F.col(c) for c in DIM_COLS])
-    expired = version(F.col(key), [F.col(a) for a in attrs], F.col("row_hash"), F.col("valid_from"), eff, F.lit(False))
-    expired = expired.withField("sk", F.col("sk"))
-    new = version(F.col("_k"), [F.col("_s_" + a) for a in attrs], F.col("_h"), eff, F.lit(OPEN_END), F.lit(True))
-    in_cur, in_src = F.col(key).isNotNull(), F.col("_k").isNotNull()
-    changed = ~F.col("row_hash").eqNullSafe(F.col("_h"))
-    # a batch effective on or before the current version's start is late/repeated: keep as is
-    stale_batch = F.col("valid_from") >= eff
-    actions = (F.when(in_cur & ~in_src, F.array(expired) if close_missing else F.array(existing))
-               .when(~in_cur & in_src, F.array(new))
-               .when(changed & ~stale_batch, F.array(expired, new))
-               .otherwise(F.array(existing)))
-    out = j.select(F.explode(actions).alias("v")).select("v.*")
-    return history.select(*DIM_COLS).unionByName(out.select(*DIM_COLS))
+    """M4: the dimension after the batch of ``effective``, late batches spliced in (``operators.history``)."""
+    return history.spliced(dim, staging, Dimension.of(key, attrs), effective, close_missing)
 
 
 def as_of(dim: DataFrame, date) -> DataFrame:
@@ -99,36 +72,20 @@ def tier_summary(dim: DataFrame, min_rank: int = 3) -> DataFrame:
     return cur.groupBy("tier").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: U4 (materialized view body): versions per tier and first valid_from.
+TIER_COUNTS = View(groups=("tier",), minima={"first_seen": "valid_from"})
+
+
 def tier_counts(dim: DataFrame) -> DataFrame:
-    """U4 (materialized view body): versions per tier and first valid_from."""
-    return dim.groupBy("tier").agg(F.count(F.lit(1)).alias("n"), F.min("valid_from").alias("first_seen"))
+    """U4: the view over the whole dimension."""
+    return TIER_COUNTS.full(dim)
 
 
 def refresh_tier_counts(previous: DataFrame, added: DataFrame, removed: DataFrame | None = None,
                         new_dim: DataFrame | None = None) -> DataFrame:
-    """U4: maintain the aggregate (versions per tier, first valid_from) from a delta
-    instead of recomputing it over the whole dimension.
-
-    An SCD2 merge only adds versions (closing one keeps its row and tier), so with
-    ``added`` alone the refresh is exact and additive: counts add up and
-    ``first_seen`` is the least of old and new. When versions were removed (a delete),
-    pass ``removed`` and ``new_dim``: ``first_seen`` is then re-derived for the
-    touched tiers only (a semi-join on those few tiers)."""
-    delta = added.select("tier", F.lit(1).alias("d"), "valid_from")
-    if removed is not None:
-        delta = delta.unionByName(removed.select("tier", F.lit(-1).alias("d"),
-                                                 F.lit(None).cast("date").alias("valid_from")))
-    dagg = delta.groupBy("tier").agg(F.sum("d").alias("dn"), F.min("valid_from").alias("dmin"))
-    j = previous.join(dagg, "tier", "full")
-    n = (F.coalesce(F.col("n"), F.lit(0)) + F.coalesce(F.col("dn"), F.lit(0))).cast("bigint")
-    if removed is None:
-        first = F.least(F.col("first_seen"), F.col("dmin"))
-        return j.select("tier", n.alias("n"), first.alias("first_seen")).filter(F.col("n") > 0)
-    touched_min = (new_dim.join(dagg.select("tier"), "tier", "left_semi")
-                   .groupBy("tier").agg(F.min("valid_from").alias("tmin")))
-    j = j.join(touched_min, "tier", "left")
-    first = F.when(F.col("dn").isNotNull(), F.col("tmin")).otherwise(F.col("first_seen"))
-    return j.select("tier", n.alias("n"), first.alias("first_seen")).filter(F.col("n") > 0)
+    """U4: the view after versions were added and removed, from those and ``previous``
+    (``new_dim`` is read for tiers whose first version was withdrawn, and only then)."""
+    return TIER_COUNTS.refresh(previous, added, added.limit(0) if removed is None else removed, new_dim)
 
 
 def publish_summary(dim: DataFrame, target: str) -> str:
@@ -142,38 +99,12 @@ def publish_summary(dim: DataFrame, target: str) -> str:
     return target
 
 
-def scd2_publish(dim_path: str, staging: DataFrame, key: str, attrs: list[str], effective,
+def scd2_publish(dim_path: str, staging: DataFrame, key, attrs: list[str], effective,
                  close_missing: bool = False) -> DataFrame:
-    """M4 as table maintenance that rewrites only what changes.
-
-    The dimension table is partitioned by ``valid_to``: every current version lives
-    in ``valid_to=9999-12-31``, versions closed on day d in ``valid_to=d``. A merge
-    effective on day d reads only the current partition, and replaces exactly two
-    partitions - the current one and ``valid_to=d`` - by dynamic overwrite. History
-    is never re-read or re-written, and re-running the latest day's batch is a no-op
-    (days are applied in order; an older day is replayed by replaying the days after
-    it too)."""
-    from tidemark.sources import files
-    spark = staging.sparkSession
-    eff = str(effective)
-    if files.path_exists(spark, dim_path):
-        # the current set as it was before day d: versions still open that started
-        # before d, plus versions that a previous run of day d closed (re-opened here).
-        # Rebuilding from that state makes a re-run of day d produce the same partitions.
-        d = F.lit(eff).cast("date")
-        table = files.external_parquet(spark, dim_path, schema=_DIM_SCHEMA)
-        before = table.filter(((F.col("valid_to") == F.lit(OPEN_END)) & (F.col("valid_from") < d))
-                              | (F.col("valid_to") == d))
-        before = before.withColumn("valid_to", F.lit(OPEN_END)).withColumn("is_current", F.lit(True))
-        merged = scd2_merge(before.select(*DIM_COLS), staging, key, attrs, effective, close_missing)
-    else:
-        merged = scd2_init(staging, key, attrs, effective)
-    files.replace_partitions(merged.select(*DIM_COLS), dim_path, "valid_to", [str(OPEN_END), eff])
-    return files.external_parquet(spark, dim_path, schema=_DIM_SCHEMA).select(*DIM_COLS)
-
-
-_DIM_SCHEMA = ("sk string, customer_id bigint, name string, city string, tier string, row_hash string, "
-               "valid_from date, is_current boolean, valid_to date")
+    """M4 as table maintenance that rewrites only what changes: the table is partitioned by
+    ``valid_to``, so a batch of the newest day replaces the open versions and those closed that
+    day, and one that comes late the partitions in which it changed a version."""
+    return history.apply_batch(dim_path, staging, Dimension.of(key, attrs), effective, close_missing).table
 
 
 def register_sql_functions(spark) -> None:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import u01
-from tidemark.operators import govern, joins, merge, scd2, versions
+from tidemark.operators import govern, joins, scd2, versions
 from tidemark.plans.oracle_feed import U, with_feed
 from tidemark.session import ensure_conf, scratch_dir
 from tidemark.sources.tables import Tables
@@ -115,12 +115,6 @@ def tier_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "GROUP BY tier", args={"min_rank": 3}, d=dim_day2(spark, sf_dir))
 
 
-def mv_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """U4: materialized aggregate maintained from the day-2 delta (the new versions)."""
-    d1, d2 = dim_day1(spark, sf_dir), dim_day2(spark, sf_dir)
-    return scd2.refresh_tier_counts(scd2.tier_counts(d1), d2.filter(F.col("valid_from") == F.lit(DAY2)))
-
-
 # ------------------------------------------------------------- versions
 def _versioned(spark, sf_dir):
     """v1 = day-2 dimension, snapshot of v1, v2 = PLATINUM rows deleted."""
@@ -175,25 +169,6 @@ def as_of_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
 
 
-def cdc_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Day-1 table + change feed (U with a superseded earlier U, D, I) = day 2."""
-    d1, d2 = staging_day1(spark, sf_dir), staging_day2(spark, sf_dir)
-    both = d1.select(KEY, *[F.col(a).alias("_o_" + a) for a in ATTRS]).join(d2, KEY, "full")
-    old_present = F.col("_o_name").isNotNull()
-    new_present = F.col("name").isNotNull()
-    changes = both.select(KEY, F.explode(F.array(
-        F.when(old_present & new_present, F.struct(F.lit(1).alias("seq"), F.lit("U").alias("op"),
-                                                   F.col("_o_name").alias("name"), F.lit("stale").alias("city"),
-                                                   F.col("_o_tier").alias("tier"))),
-        F.when(new_present, F.struct(F.lit(2).alias("seq"), F.when(old_present, "U").otherwise("I").alias("op"),
-                                     "name", "city", "tier")),
-        F.when(old_present & ~new_present, F.struct(F.lit(3).alias("seq"), F.lit("D").alias("op"),
-                                                    F.col("_o_name").alias("name"), F.col("_o_city").alias("city"),
-                                                    F.col("_o_tier").alias("tier"))))).alias("c")
-    ).filter(F.col("c").isNotNull()).select(KEY, "c.*")
-    return merge.apply_cdc(d1, changes, KEY, "seq", "op")
-
-
 # ----------------------------------------------------------- governance
 def row_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1: the analyst's policy (city = 'NATION_1') over the whole dimension."""
@@ -213,8 +188,8 @@ def column_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in [
     scd2_init, scd2_apply, scd2_inserts, scd2_expires, dim_as_of, fact_as_of_join, tier_rank, tier_summary,
-    mv_refresh, delete_rows, snapshot_clone, as_of_version, restore_rows, rollback_version, as_of_log,
-    cdc_apply, row_policy, authorized_view, column_mask]}
+    delete_rows, snapshot_clone, as_of_version, restore_rows, rollback_version, as_of_log,
+    row_policy, authorized_view, column_mask]}
 
 
 def _h(*cols):
@@ -274,13 +249,11 @@ ORACLE = {
         FROM dim WHERE is_current""",
     "tier_summary": DIM_CTES + """SELECT tier, count(*) AS n FROM dim WHERE is_current
         AND CASE tier WHEN 'PLATINUM' THEN 4 WHEN 'GOLD' THEN 3 WHEN 'SILVER' THEN 2 ELSE 1 END >= 3 GROUP BY tier""",
-    "mv_refresh": DIM_CTES + "SELECT tier, count(*) AS n, min(valid_from) AS first_seen FROM dim GROUP BY tier",
     "delete_rows": DIM_CTES + "SELECT %s FROM dim WHERE tier IS DISTINCT FROM 'PLATINUM'" % DIM_COLS,
     "snapshot_clone": DIM_CTES + "SELECT %s FROM dim" % DIM_COLS,
     "as_of_version": DIM_CTES + "SELECT %s FROM dim" % DIM_COLS,
     "restore_rows": DIM_CTES + "SELECT %s FROM dim" % DIM_COLS,
     "rollback_version": DIM_CTES + "SELECT %s FROM dim" % DIM_COLS,
-    "cdc_apply": DIM_CTES + "SELECT customer_id, name, city, tier FROM d2",
     "row_policy": DIM_CTES + "SELECT %s FROM dim WHERE city = 'NATION_1'" % DIM_COLS,
     "authorized_view": DIM_CTES + "SELECT customer_id, name, tier FROM dim WHERE city = 'NATION_1' AND is_current",
     "column_mask": DIM_CTES + "SELECT customer_id, md5(name) AS name, tier FROM dim WHERE is_current",

@@ -61,7 +61,6 @@ WHERE order_date IN (SELECT order_date FROM silver WHERE ingest_date = %s)""" %
     gold = with_feed("""
 SELECT order_date, country, orders, revenue, avg_order_value FROM gold""")
     q["silver_to_gold"] = gold
-    q["gold_merge"] = gold
     q["backfill_equals_daily"] = gold
     q["daily_run"] = gold
     q["compact_files"] = with_feed("""

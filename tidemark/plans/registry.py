@@ -8,7 +8,7 @@ LAKE_KEYS = [
     "raw_json_read", "partition_range_read", "partition_from_path", "export_json_roundtrip",
     "safe_cast", "reject_reason", "valid_rows", "quarantine_rows", "outcome_profile", "breaker_decision",
     "bronze_to_silver", "dedup_within_day", "current_state", "affected_dates", "gold_rebuild",
-    "silver_to_gold", "gold_merge", "assert_gold_counts", "backfill_equals_daily", "idempotent_rerun",
+    "silver_to_gold", "assert_gold_counts", "backfill_equals_daily", "idempotent_rerun",
     "idempotent_overwrite", "compact_files", "run_metrics", "truth_daily", "reconcile_full_outer",
     "reconcile_summary", "gen_universe", "gen_events", "gate_results", "gold_freshness", "daily_run",
 ]
@@ -30,7 +30,7 @@ def oracle_queries() -> dict:
 
 def _more_modules():
     mods = []
-    for name in ("catalog_relational", "catalog_dims", "catalog_usage", "catalog_stream", "catalog_misc"):
+    for name in ("catalog_relational", "catalog_dims", "catalog_upkeep", "catalog_usage", "catalog_stream", "catalog_misc"):
         try:
             mods.append(__import__("tidemark.plans." + name, fromlist=["QUERIES"]))
         except ModuleNotFoundError as e:
