@@ -98,6 +98,52 @@ def hot_keys(fact: DataFrame, key: str, min_share: float = 0.01) -> list:
     return [r[0] for r in hot.select(key).collect()]
 
 
+def heavy_hitters(fact: DataFrame, key: str, rows_per_task: int, tracked: int = 10_000) -> dict:
+    """Keys with more than ``rows_per_task`` rows, and how many tasks each needs.
+
+    One pass, a summary of at most ``tracked`` keys per task (frequent items; no shuffle by key).
+    Its counts are never too low by more than a ``tracked``-th of the rows, so every key beyond that is
+    found. A key that is missed or overcounted only gets another number of salts: the join stays exact."""
+    top = fact.where(F.col(key).isNotNull()).agg(
+        F.expr("approx_top_k(`%s`, %d, %d)" % (key, min(tracked, 10_000), max(tracked, 10_000))).alias("t")).first()
+    return {r["item"]: -(-r["count"] // rows_per_task) for r in (top["t"] or []) if r["count"] > rows_per_task}
+
+
+def _unmatched(dim: DataFrame, fact: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Dimension rows that no fact row has the key of (NULL keys among them), in the join's columns."""
+    keys = fact.select(key).where(F.col(key).isNotNull()).distinct()
+    lone = dim.join(keys, key, "left_anti")
+    return lone.select(*[F.col(c) if c in dim.columns else F.lit(None).cast(fact.schema[c].dataType).alias(c)
+                         for c in columns])
+
+
+def weighted_salt_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", rows_per_task: int = 2_000_000,
+                       tracked: int = 10_000) -> DataFrame:
+    """A join in which every heavy key has its own number of salts.
+
+    A key with n times ``rows_per_task`` rows is dealt to n tasks and its dimension
+    rows are repeated n times; other keys are joined as they are. A salt depends on the row and on the task
+    that reads it, so rows alike in every column are dealt out too, and a task that runs again deals as before.
+    Exact for every join type: right and full joins are the fact-side join and the dimension
+    rows without a fact row, added once."""
+    if how in ("right", "right_outer", "full", "outer", "full_outer"):
+        part = weighted_salt_join(fact, dim, key, "inner" if how.startswith("right") else "left", rows_per_task, tracked)
+        return part.unionByName(_unmatched(dim, fact, key, part.columns))
+    salts = heavy_hitters(fact, key, rows_per_task, tracked)
+    if not salts:
+        return fact.join(dim, key, how)
+    # at most ``tracked`` rows: the side that is broadcast is bounded
+    many = fact.sparkSession.createDataFrame(list(salts.items()), "_k string, _salts long" if isinstance(
+        next(iter(salts)), str) else "_k %s, _salts long" % fact.schema[key].dataType.simpleString())
+    many = F.broadcast(many)
+    f = fact.join(many, fact[key] == many["_k"], "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(*[fact[c] for c in fact.columns], F.spark_partition_id()),
+                        F.coalesce("_salts", F.lit(1)))).drop("_k", "_salts")
+    d = dim.join(many, dim[key] == many["_k"], "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1)) - 1))).drop("_k", "_salts")
+    return f.join(d, [key, "_salt"], how).drop("_salt")
+
+
 def skew_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", min_share: float = 0.01,
               max_hot_dim_rows: int = DEFAULT_MAX_BROADCAST_ROWS, salt_buckets: int = 64) -> DataFrame:
     """Split hot keys off a fact-to-dimension join.
@@ -107,7 +153,11 @@ def skew_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", min
     the hot dimension rows - proven small first - so they never cross the network or
     pile into one task; if those rows are not provably small, the hot part takes a
     salted join instead. The rest takes the ordinary shuffle join (where AQE's skew
-    handling still applies). The union is exactly the plain join."""
+    handling still applies). The union is exactly the plain join, for right and full
+    joins by adding the dimension rows without a fact row."""
+    if how in ("right", "right_outer", "full", "outer", "full_outer"):
+        part = skew_join(fact, dim, key, "inner" if how.startswith("right") else "left", min_share, max_hot_dim_rows, salt_buckets)
+        return part.unionByName(_unmatched(dim, fact, key, part.columns))
     if has_at_most(dim, max_hot_dim_rows):
         # the whole dimension is provably small: a broadcast join never shuffles the
         # fact, so no key can be hot
