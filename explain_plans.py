@@ -30,8 +30,8 @@ def main():
          medallion.scored_bronze(spark, lake, [parts[-1]])),
         ("C1 silver: newest version per (ingest_date, order_id)",
          medallion.silver_frame(valid)),
-        ("C2 gold rebuild for one affected month",
-         medallion.gold_aggregate(medallion.rebuild_input(silver, [dt.date.fromisoformat(parts[-1])], "month"))),
+        ("C2 gold rebuild for one affected day",
+         medallion.gold_aggregate(medallion.rebuild_input(silver, [dt.date.fromisoformat(parts[-1])], "day"))),
         ("J1 join + group + top 20 (fact pre-aggregated per key)", catalog_relational.join_top_n(spark, sf_dir)),
         ("J9 skewed join (hot keys split off)", catalog_relational.skewed_join(spark, sf_dir)),
         ("T5 sessions (two-phase, skew-safe)", catalog_stream.win_session(spark, sf_dir)),

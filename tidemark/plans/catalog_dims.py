@@ -161,11 +161,11 @@ def rollback_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def as_of_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M8 on an append log: current state of silver orders as known at 1998-01-01."""
+    """M8 on an append log: current state of silver orders as known at 1995-01-25."""
     from tidemark.plans.lakebuild import build_lake
     lake, _, _ = build_lake(spark, sf_dir)
     s = spark.read.parquet(lake.silver).select("order_id", "amount", "updated_at", "ingest_date")
-    out = versions.log_as_of(s, ["order_id"], ["updated_at", "ingest_date"], "updated_at", "1998-01-01 00:00:00")
+    out = versions.log_as_of(s, ["order_id"], ["updated_at", "ingest_date"], "updated_at", "1995-01-25 00:00:00")
     return out.withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
 
 
@@ -258,6 +258,6 @@ ORACLE = {
     "authorized_view": DIM_CTES + "SELECT customer_id, name, tier FROM dim WHERE city = 'NATION_1' AND is_current",
     "column_mask": DIM_CTES + "SELECT customer_id, md5(name) AS name, tier FROM dim WHERE is_current",
     "as_of_log": with_feed("""
-SELECT order_id, amount, updated_at, ingest_date FROM silver WHERE updated_at <= TIMESTAMP '1998-01-01 00:00:00'
+SELECT order_id, amount, updated_at, ingest_date FROM silver WHERE updated_at <= TIMESTAMP '1995-01-25 00:00:00'
 QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC, ingest_date DESC) = 1"""),
 }

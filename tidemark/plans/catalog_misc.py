@@ -80,7 +80,7 @@ def append_insert(spark, sf_dir):
 
 # ----------------------------------------------------------------- layouts
 #: Bytes per file of the clustered copies: small, so that the driver tables fill several.
-LAYOUT_FILE_BYTES = 64 * 1024
+LAYOUT_FILE_BYTES = 24 * 1024
 _LAYOUTS: dict = {}
 
 

@@ -28,6 +28,8 @@ INVALID_BELOW = 0.010     # 0.009 <= bad < 0.010: no amount
 MALFORMED_BELOW = 0.001   # junk < 0.001: truncated JSON line (broken producer)
 BAD_ITEMS_BELOW = 0.002   # 0.001 <= junk < 0.002: items text that is not a number
 
+#: First day of the feed's calendar.
+EPOCH = "1995-01-01"
 RAW_FIELDS = ["order_id", "customer_id", "country", "items", "amount", "order_ts", "updated_at"]
 TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
@@ -36,8 +38,16 @@ def _grain_start(d: Column, grain: str) -> Column:
     return d if grain == "day" else F.trunc(d, grain)
 
 
+def paced(day: Column, pace: int) -> Column:
+    """A calendar that runs ``pace`` times as fast: the day it is there on ``day`` here. All rows stay;
+    a day just holds what ``pace`` days hold here."""
+    if pace == 1:
+        return F.to_date(day)
+    return F.date_add(F.lit(EPOCH).cast("date"), F.floor(F.datediff(day, F.lit(EPOCH)) / pace).cast("int"))
+
+
 def order_universe(orders: DataFrame, customer: DataFrame, nation: DataFrame,
-                   grain: str = "month") -> DataFrame:
+                   grain: str = "month", pace: int = 1) -> DataFrame:
     """GN1: the clean canonical version of every order plus its defect draws.
 
     ``arrival_date`` = order date + lag (late orders); ``ingest_date`` is the bronze
@@ -50,7 +60,7 @@ def order_universe(orders: DataFrame, customer: DataFrame, nation: DataFrame,
     n = F.col("o_orderkey")
     late = u01(n, "late") < LATE_RATE
     lag = F.when(late, 1 + F.floor(u01(n, "lag") * MAX_LAG_DAYS).cast("int")).otherwise(F.lit(0))
-    order_date = F.to_date("o_orderdate")
+    order_date = paced(F.col("o_orderdate"), pace)
     return (o.select(
         n.alias("n"),
         F.format_string("ORD-%09d", n).alias("order_id"),
@@ -60,7 +70,7 @@ def order_universe(orders: DataFrame, customer: DataFrame, nation: DataFrame,
         F.round(F.col("o_totalprice") * 100).cast("bigint").alias("amount_cents"),
         order_date.alias("order_date"),
         F.timestamp_add("SECOND", F.floor(u01(n, "sec") * 86400).cast("int"),
-                        F.col("o_orderdate")).alias("order_ts"),
+                        order_date.cast("timestamp_ntz")).alias("order_ts"),
         F.date_add(order_date, lag).alias("arrival_date"),
         u01(n, "bad").alias("bad"), u01(n, "dup").alias("dup"),
         u01(n, "corr").alias("corr"), u01(n, "junk").alias("junk"))
@@ -152,20 +162,26 @@ def bronze_lines(events: DataFrame) -> DataFrame:
 
 
 def bronze_feed(orders: DataFrame, customer: DataFrame, nation: DataFrame,
-                grain: str = "month") -> DataFrame:
+                grain: str = "month", pace: int = 1) -> DataFrame:
     """Raw JSON lines per ingest partition, ready for ``export_json``."""
-    return bronze_lines(feed_events(order_universe(orders, customer, nation, grain), grain))
+    return bronze_lines(feed_events(order_universe(orders, customer, nation, grain, pace), grain))
 
 
-def truth_daily(universe: DataFrame) -> DataFrame:
+def truth_daily(universe: DataFrame, last_day=None, grain: str = "month") -> DataFrame:
     """GN3: expected gold recomputed from the generator's definitions alone.
 
-    Valid orders only; a corrected order counts with its corrected amount."""
+    Valid orders only; a corrected order counts with its corrected amount. With ``last_day`` (the
+    last ingest partition that was processed) an order counts if it had arrived by then, and its
+    correction if that had."""
     n = F.col("n")
     k = u01_bucket(n, "cadj")
     valid = universe.filter((F.col("bad") >= INVALID_BELOW) & (F.col("junk") >= BAD_ITEMS_BELOW))
-    cents = F.when(F.col("corr") < CORRECTION_RATE, corrected_cents(F.col("amount_cents"), k)
-                   ).otherwise(F.col("amount_cents"))
+    corrected = F.col("corr") < CORRECTION_RATE
+    if last_day is not None:
+        last = F.lit(str(last_day)).cast("date")
+        valid = valid.filter(F.col("ingest_date") <= last)
+        corrected = corrected & (_grain_start(F.date_add("arrival_date", 1), grain) <= last)
+    cents = F.when(corrected, corrected_cents(F.col("amount_cents"), k)).otherwise(F.col("amount_cents"))
     return (valid.groupBy("order_date", "country")
             .agg(F.count(F.lit(1)).alias("orders"), F.sum(cents).alias("revenue_cents")))
 

@@ -19,11 +19,14 @@ from tidemark.sources.tables import Tables
 
 # Fixed build time of the registered lake, so gold rows are reproducible.
 BUILT_AT = "2026-08-31 06:00:00"
+# The registered lake has day partitions; its calendar runs sixty times as fast as that of the orders, so that a day
+# of the small driver tables holds hundreds of orders, late ones and corrections among them.
+GRAIN, PACE = "day", 60
 _LOCK = threading.Lock()
 _BUILT: dict = {}
 
 
-def write_bronze(spark: SparkSession, sf_dir: str, root: str, grain: str = "month") -> list[str]:
+def write_bronze(spark: SparkSession, sf_dir: str, root: str, grain: str = "month", pace: int = 1) -> list[str]:
     """Land the dirty feed as JSON partitions. Orders are range-partitioned on
     (order date, key) first - the sample reads two columns, not the generated feed -
     so each task generates a narrow run of dates (arrival = order date + 0..6 days)
@@ -31,7 +34,7 @@ def write_bronze(spark: SparkSession, sf_dir: str, root: str, grain: str = "mont
     t = Tables(spark, sf_dir)
     n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     orders = t.orders.repartitionByRange(n, "o_orderdate", "o_orderkey")
-    lines = generate.bronze_feed(orders, t.customer, t.nation, grain)
+    lines = generate.bronze_feed(orders, t.customer, t.nation, grain, pace)
     files.export_json(lines, root, clustered=True)
     return files.list_partition_values(spark, root, "ingest_date")
 
@@ -59,10 +62,10 @@ def _input_stamp(spark: SparkSession, sf_dir: str) -> str:
     return repr(found)
 
 
-def _pointer_path(spark: SparkSession, sf_dir: str, grain: str) -> str:
+def _pointer_path(spark: SparkSession, sf_dir: str, grain: str, pace: int) -> str:
     import hashlib
     from tidemark.session import checkpoint_root
-    tag = hashlib.sha1(("%s|%s|%s|%s" % (sf_dir, grain, _code_fingerprint(), _input_stamp(spark, sf_dir))).encode()).hexdigest()[:16]
+    tag = hashlib.sha1(("%s|%s|%d|%s|%s" % (sf_dir, grain, pace, _code_fingerprint(), _input_stamp(spark, sf_dir))).encode()).hexdigest()[:16]
     return "%s/tidemark/_lakes/%s.json" % (checkpoint_root(spark), tag)
 
 
@@ -90,21 +93,21 @@ def _save_pointer(spark: SparkSession, path: str, lake, parts, result) -> None:
     files.write_small_text(spark, path, json.dumps(d))
 
 
-def build_lake(spark: SparkSession, sf_dir: str, grain: str = "month") -> tuple[medallion.Lake, list[str], dict]:
+def build_lake(spark: SparkSession, sf_dir: str, grain: str = GRAIN, pace: int = PACE) -> tuple[medallion.Lake, list[str], dict]:
     """Bronze written once and backfilled once per input folder and code version.
 
     Reused within a session (memo) and across sessions through a small pointer file
     in the shared checkpoint folder, written only after the build completed."""
     ensure_conf(spark)
-    key = (spark.sparkContext.applicationId, sf_dir, grain, _input_stamp(spark, sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir, grain, pace, _input_stamp(spark, sf_dir))
     with _LOCK:
         if key in _BUILT and files.path_exists(spark, _BUILT[key][0].gold):
             return _BUILT[key]
-        pointer = _pointer_path(spark, sf_dir, grain)
+        pointer = _pointer_path(spark, sf_dir, grain, pace)
         found = _load_pointer(spark, pointer, grain)
         if found is None:
             lake = medallion.Lake(scratch_dir(spark, "lake"), grain=grain, gold_grain=grain)
-            parts = write_bronze(spark, sf_dir, lake.bronze, grain)
+            parts = write_bronze(spark, sf_dir, lake.bronze, grain, pace)
             result = medallion.backfill(spark, lake, parts[0], parts[-1], built_at=BUILT_AT)
             _save_pointer(spark, pointer, lake, parts, result)
             found = (lake, parts, result)

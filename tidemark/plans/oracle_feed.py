@@ -26,11 +26,16 @@ def GRAIN(d: str, grain: str) -> str:
     return d if grain == "day" else "CAST(date_trunc('%s', %s) AS DATE)" % (grain, d)
 
 
-def feed_ctes(grain: str = "month") -> str:
+def PACED(d: str, pace: int) -> str:
+    return d if pace == 1 else ("CAST(DATE '1995-01-01' + CAST(floor(date_diff('day', DATE '1995-01-01', %s) / %d) AS INTEGER) "
+                                "AS DATE)" % (d, pace))
+
+
+def feed_ctes(grain: str = "day", pace: int = 60) -> str:
     """CTEs: uni (GN1), ev (GN2, typed), scored (P4+P5), silver (W1), latest (W2), gold (A2)."""
     return """
 uni0 AS (
-  SELECT o.o_orderkey AS n, o.o_custkey, o.o_totalprice, o.o_orderdate, cn.n_name AS country
+  SELECT o.o_orderkey AS n, o.o_custkey, o.o_totalprice, %(day)s AS o_orderdate, cn.n_name AS country
   FROM orders o
   LEFT JOIN (SELECT c.c_custkey, nn.n_name FROM customer c JOIN nation nn ON nn.n_nationkey = c.c_nationkey) cn
     ON cn.c_custkey = o.o_custkey),
@@ -104,12 +109,12 @@ truth AS (
         "u_items": U("n", "items"), "u_sec": U("n", "sec"), "u_late": U("n", "late"), "u_lag": U("n", "lag"),
         "u_bad": U("n", "bad"), "u_dup": U("n", "dup"), "u_corr": U("n", "corr"), "u_junk": U("n", "junk"),
         "k_cadj": K("n", "cadj"), "u_csec": U("n", "csec"),
-        "ingest": GRAIN("arrival_date", grain), "corr_ingest": GRAIN("arrival_date + 1", grain),
+        "day": PACED("CAST(o.o_orderdate AS DATE)", pace), "ingest": GRAIN("arrival_date", grain), "corr_ingest": GRAIN("arrival_date + 1", grain),
     }
 
 
-def with_feed(select_sql: str, grain: str = "month") -> str:
-    return "WITH " + feed_ctes(grain) + select_sql
+def with_feed(select_sql: str) -> str:
+    return "WITH " + feed_ctes() + select_sql
 
 
 RAW_TEXT_SELECT = """
@@ -130,5 +135,5 @@ raw AS (
 """ % {"cents": CENTS_TEXT("amount_cents")}
 
 
-def with_raw(select_sql: str, grain: str = "month") -> str:
-    return "WITH " + feed_ctes(grain) + "," + RAW_TEXT_SELECT + select_sql
+def with_raw(select_sql: str) -> str:
+    return "WITH " + feed_ctes() + "," + RAW_TEXT_SELECT + select_sql

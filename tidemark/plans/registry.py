@@ -10,7 +10,7 @@ LAKE_KEYS = [
     "bronze_to_silver", "dedup_within_day", "current_state", "affected_dates", "gold_rebuild",
     "silver_to_gold", "assert_gold_counts", "backfill_equals_daily", "idempotent_rerun",
     "idempotent_overwrite", "compact_files", "run_metrics", "truth_daily", "reconcile_full_outer",
-    "reconcile_summary", "gen_universe", "gen_events", "gate_results", "gold_freshness", "daily_run",
+    "reconcile_summary", "spanning_orders", "reconcile_last_day", "emptied_dates", "volume_gates", "gen_universe", "gen_events", "gate_results", "gold_freshness", "daily_run",
 ]
 
 
