@@ -129,3 +129,69 @@ def test_resequence_stream_releases_in_order(spark):
     root = windows.run_available(spark, messaging.resequence_stream(stream, "k", "s", "p"), "reseq")
     out = spark.read.parquet(root + "/out").collect()
     assert sorted((r["key"], r["seq"]) for r in out) == [("A", 1), ("A", 2), ("A", 3), ("A", 4), ("B", 1), ("B", 2), ("B", 3)]
+
+
+def _arrive(spark, name, rounds, schema):
+    import time as _t
+    from tidemark.session import scratch_dir
+    src = scratch_dir(spark, name)
+    for rows in rounds:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        _t.sleep(0.05)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+
+
+def _state_rows(stream_df, spark, name):
+    from tidemark.session import scratch_dir
+    root = scratch_dir(spark, "state-" + name)
+    q = (stream_df.writeStream.option("checkpointLocation", root + "/_checkpoint").outputMode("append")
+         .format("parquet").option("path", root + "/out").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert q.exception() is None
+    rows = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    return spark.read.parquet(root + "/out").collect(), rows
+
+
+def test_finished_messages_leave_the_state(spark):
+    at = lambda d, m=0: dt.datetime(2026, 1, d, 0, m)                           # noqa: E731
+    rounds = [[("m%d-%d" % (d, i), i > 0, at(d)) for i in range(6)] for d in (1, 3, 5, 7, 9)]
+    rounds[1] += [("m1-0", False, at(3))]
+    stream = _arrive(spark, "retry-ttl", rounds, "message_id string, ok boolean, at timestamp")
+    out, state = _state_rows(messaging.retry_stream(stream, "message_id", "ok", 2, ts="at", forget_after="36 hours"),
+                             spark, "retry")
+    assert {r["message_id"] for r in out if r["status"] == "acked"} == {"m%d-%d" % (d, i) for d in (1, 3, 5, 7, 9)
+                                                                        for i in range(1, 6)}
+    assert state and max(state) < 60 and state[-1] <= 4 * 7                     # not all 30 messages and their timers
+
+
+def test_a_gap_is_given_up_and_leaves_the_state(spark):
+    at = lambda h: dt.datetime(2026, 1, 1, h)                                   # noqa: E731
+    rounds = [[("A", 1, at(0)), ("A", 3, at(0)), ("B", 1, at(0))], [("A", 4, at(1))], [("B", 2, at(8))], [("B", 3, at(9))],
+              [("A", 2, at(9)), ("A", 5, at(9)), ("B", 4, at(15))]]
+    rows = [[(k, s, "%s%d" % (k, s), t) for k, s, t in r] for r in rounds]
+    stream = _arrive(spark, "gap", rows, "k string, s bigint, p string, at timestamp")
+    out, _ = _state_rows(messaging.resequence_stream(stream, "k", "s", "p", ts="at", gap_after="2 hours"), spark, "gap")
+    assert sorted((r["key"], r["seq"]) for r in out) == [("A", 1), ("A", 3), ("A", 4), ("A", 5), ("B", 1), ("B", 2), ("B", 3),
+                                                         ("B", 4)]
+
+
+def test_late_rows_go_to_their_own_table(spark):
+    at = lambda h: dt.datetime(2026, 1, 1, h)                                   # noqa: E731
+    rounds = [[(1, at(5)), (2, at(1))], [(3, at(4)), (4, at(2)), (5, None)], [(6, at(9))], [(7, at(6)), (8, at(5))]]
+    stream = _arrive(spark, "late-src", rounds, "id int, at timestamp")
+    on_time, late = messaging.split_late(spark, stream, "at", "2 hours")
+    assert sorted(r["id"] for r in spark.read.parquet(late).collect()) == [4, 7, 8]
+    assert sorted(r["id"] for r in spark.read.parquet(on_time).collect()) == [1, 2, 3, 5, 6]
+
+
+def test_a_failed_replacement_leaves_the_table(spark):
+    import pytest
+    from tidemark.session import scratch_dir
+    from tidemark.sources import files
+    path = scratch_dir(spark, "replace") + "/t"
+    files.replace_table(spark.range(5), path)
+    with pytest.raises(Exception):
+        files.replace_table(spark.range(5).select(F.raise_error(F.lit("no")).cast("long").alias("id")), path)
+    assert spark.read.parquet(path).count() == 5
+    files.replace_table(spark.read.parquet(path).where("id < 2"), path)         # a table may be replaced by what is read from it
+    assert spark.read.parquet(path).count() == 2

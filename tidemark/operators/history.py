@@ -135,6 +135,9 @@ def apply_batch(path: str, batch: DataFrame, dim: Dimension, effective, close_mi
         files.replace_partitions(first.select(*schema.names), path, "valid_to")
         table = read(spark, path, schema, dim)
         return Applied(table, table.limit(0), table, files.list_partition_values(spark, path, "valid_to"))
+    # the batch is read several times below, and may be costly to make
+    batch.select(*dim.keys, *dim.attrs).write.parquet(work + "/batch")
+    batch = spark.read.schema(batch.select(*dim.keys, *dim.attrs).schema).parquet(work + "/batch")
     table = read(spark, path, schema, dim)
     region = table.where(F.col("valid_to") >= day)
     again = region.where((F.col("valid_from") == day) | (F.col("valid_to") == day)).select(*dim.keys)

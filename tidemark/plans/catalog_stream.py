@@ -140,9 +140,12 @@ def stream_panes_disc(spark, sf_dir):
 
 
 def stream_late_dropped(spark, sf_dir):
-    """With 6 hours of allowed lateness the two-day-late arrivals are past it:
-    they are routed to a side output and kept, not silently dropped."""
-    return _panes(spark, sf_dir, True, 6 * 3600).filter(F.col("kind") == "late")
+    """With 6 hours of allowed lateness the two-day-late arrivals are behind the clock of the files
+    before theirs: they are kept in a table of their own, not silently dropped."""
+    ensure_conf(spark)
+    stream = spark.readStream.schema(EVENTS_DDL).option("maxFilesPerTrigger", 1).parquet(_arrival_files(spark, sf_dir))
+    _, late = messaging.split_late(spark, stream, "ts", "6 hours")
+    return spark.read.parquet(late).drop("batch")
 
 
 # --------------------------------------------------------------- messaging
@@ -166,7 +169,9 @@ def dead_letter_job(spark, lines: DataFrame) -> tuple[str, str]:
     side output (T11), both sides written as whole tables (S10)."""
     root = scratch_dir(spark, "dead-letter")
     lines.write.mode("overwrite").text(root + "/in")
-    good, bad = messaging.parse_or_dead_letter(files.read_lines(spark, root + "/in"), DL_SCHEMA)
+    parsed = messaging.parsed_lines(files.read_lines(spark, root + "/in"), DL_SCHEMA)
+    parsed.write.parquet(root + "/parsed")                              # parsed once, published from there
+    good, bad = messaging.sides(spark.read.schema(parsed.schema).parquet(root + "/parsed"), DL_SCHEMA)
     files.replace_table(good, root + "/events")
     files.replace_table(bad, root + "/events_dead_letter")
     return root + "/events", root + "/events_dead_letter"
@@ -211,8 +216,40 @@ def dlq_after_n(spark, sf_dir):
     return messaging.retry_or_dead_letter(deliveries, "message_id", "ok", 5)
 
 
+def dlq_stream(spark, sf_dir):
+    """T14 as a stream: the same deliveries, two attempts a file; attempts and finished messages are state that expires."""
+    ensure_conf(spark)
+    c = Tables(spark, sf_dir).conversations
+    m = c.select((F.col("conv_id") * 100 + F.col("turn")).alias("message_id"))
+    m = m.withColumn("ok", u01("message_id", "poison") >= 0.05)
+    src = scratch_dir(spark, "deliveries")
+    for first in (1, 3, 5):                     # three files, in the order of delivery
+        part = m.select("message_id", "ok", F.explode(F.array(F.lit(first), F.lit(first + 1))).alias("attempt"))
+        part = part.withColumn("at", F.timestamp_add("MINUTE", F.col("attempt"), F.lit("2026-01-01").cast("timestamp")))
+        part.where((F.col("attempt") == 1) | ~F.col("ok")).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema("message_id bigint, ok boolean, attempt int, at timestamp").option("maxFilesPerTrigger", 1).parquet(src)
+    root = windows.run_available(spark, messaging.retry_stream(stream, "message_id", "ok", 5, ts="at"), "dlq")
+    out = spark.read.schema(messaging.RETRY_OUTPUT).parquet(root + "/out")
+    return out.withColumn("message_id", F.col("message_id").cast("bigint"))
+
+
+def ordered_stream(spark, sf_dir):
+    """T13 as a stream: turns arrive in two files, odd ones in the first; each conversation comes out in
+    order and without gaps (``position``: where in the key's output a turn was released)."""
+    ensure_conf(spark)
+    c = Tables(spark, sf_dir).conversations.select("conv_id", "turn", "role").dropDuplicates(["conv_id", "turn"])
+    src = scratch_dir(spark, "turns")
+    for odd in (1, 0):
+        c.where(F.pmod("turn", F.lit(2)) == odd).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(c.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    first = c.agg(F.min("turn")).first()[0] or 0
+    root = windows.run_available(spark, messaging.resequence_stream(stream, "conv_id", "turn", "role", int(first)), "ordered")
+    return spark.read.schema("key string, seq long, payload string").parquet(root + "/out").select(
+        F.col("key").cast("bigint").alias("conv_id"), F.col("seq").alias("turn"), F.col("payload").alias("role"))
+
+
 QUERIES = {f.__name__: f for f in [
-    win_global, win_tumbling, win_sliding, win_session, stream_watermark_counts, stream_sessions, stream_dedup,
+    dlq_stream, ordered_stream, win_global, win_tumbling, win_sliding, win_session, stream_watermark_counts, stream_sessions, stream_dedup,
     land_messages, replay_since, stream_panes_acc, stream_panes_disc, stream_late_dropped, dead_letter_good,
     dead_letter_bad, ordered_per_key, dlq_after_n]}
 
@@ -237,6 +274,11 @@ w AS (SELECT user_id, min(ts) AS window_start, max(ts) + INTERVAL 6 HOUR AS wind
       FROM s GROUP BY user_id, sid)
 """
 
+_DLQ = """WITH m AS (SELECT conv_id * 100 + turn AS message_id,
+            %s < 0.05 AS poison FROM conversations)
+        SELECT message_id, CAST(CASE WHEN poison THEN 5 ELSE 1 END AS BIGINT) AS attempts,
+               CASE WHEN poison THEN 'dead_letter' ELSE 'acked' END AS status FROM m""" % U("(conv_id * 100 + turn)", "poison")
+
 ORACLE = {
     "win_global": """SELECT user_id, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
         FROM events GROUP BY user_id""",
@@ -262,8 +304,18 @@ ORACLE = {
         FROM lines WHERE error IS NULL""",
     "dead_letter_bad": _DL_LINES + "SELECT substr(value, 1, 900) AS raw_line, error FROM lines WHERE error IS NOT NULL",
     "ordered_per_key": "SELECT conv_id, turn, role, CAST(length(text) AS INTEGER) AS n_chars FROM conversations",
-    "dlq_after_n": """WITH m AS (SELECT conv_id * 100 + turn AS message_id,
-            %s < 0.05 AS poison FROM conversations)
-        SELECT message_id, CAST(CASE WHEN poison THEN 5 ELSE 1 END AS BIGINT) AS attempts,
-               CASE WHEN poison THEN 'dead_letter' ELSE 'acked' END AS status FROM m""" % U("(conv_id * 100 + turn)", "poison"),
+    "dlq_after_n": _DLQ,
+    "dlq_stream": _DLQ,
+    # a conversation whose turns have a gap is released up to the gap
+    "ordered_stream": """WITH c AS (SELECT DISTINCT conv_id, turn, role FROM conversations),
+        r AS (SELECT *, turn - (SELECT min(turn) FROM c) - row_number() OVER (PARTITION BY conv_id ORDER BY turn) + 1 AS missing
+              FROM c)
+        SELECT conv_id, CAST(turn AS BIGINT) AS turn, role FROM r WHERE missing = 0""",
+    "stream_late_dropped": """WITH e AS (
+          SELECT *, CASE WHEN %s < 0.10 THEN ts + INTERVAL 2 DAY ELSE ts END AS arrives FROM events),
+        c AS (SELECT *, date_diff('day', (SELECT CAST(min(ts) AS DATE) FROM events), CAST(arrives AS DATE)) // 5 AS chunk FROM e),
+        m AS (SELECT chunk, max(max(ts)) OVER (ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS clock
+              FROM c GROUP BY chunk)
+        SELECT event_id, ts, user_id, event_type, value, props FROM c JOIN m USING (chunk)
+        WHERE ts < clock - INTERVAL 6 HOUR""" % U("event_id", "arr"),
 }

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Raw lines kept in the dead-letter table are cut at this length.
+from tidemark.sources import files
 
 
 def _is_int_text(c: Column) -> Column:
@@ -16,7 +16,18 @@ def _is_int_text(c: Column) -> Column:
 
 def parse_or_dead_letter(lines: DataFrame, schema: dict[str, str], line_col: str = "value",
                          preview_chars: int | None = None):
-    """JSON lines -> (good typed rows, dead letters with a reason).
+    """JSON lines -> (good typed rows, dead letters with a reason): both sides of ``parsed_lines``."""
+    return sides(parsed_lines(lines, schema, line_col, preview_chars), schema)
+
+
+def sides(parsed: DataFrame, schema: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(good rows, dead letters) of parsed lines, saved ones too."""
+    return parsed.where("error is null").select(*schema), parsed.where("error is not null").select("raw_line", "error")
+
+
+def parsed_lines(lines: DataFrame, schema: dict[str, str], line_col: str = "value",
+                 preview_chars: int | None = None) -> DataFrame:
+    """One row per line: the typed fields of a good one, or the raw line and the reason.
 
     Every line gets exactly one outcome: malformed JSON, a missing required field,
     or a field that does not cast to its type; otherwise it is good. The reason is
@@ -33,13 +44,11 @@ def parse_or_dead_letter(lines: DataFrame, schema: dict[str, str], line_col: str
         if typ in ("int", "bigint", "integer", "long"):
             fits = _is_int_text(F.col("_p." + f)) & F.col("_p." + f).try_cast(typ).isNotNull()
             reason = reason.when(~fits, F.lit("bad_type:" + f))
-    scored = parsed.withColumn("_reason", reason)
-    good = scored.filter(F.col("_reason").isNull()).select(
-        *[F.col("_p." + f).try_cast(t).alias(f) for f, t in schema.items()])
-    bad = scored.filter(F.col("_reason").isNotNull()).select(
-        (F.col(line_col) if preview_chars is None else F.substring(F.col(line_col), 1, preview_chars))
-        .alias("raw_line"), F.col("_reason").alias("error"))
-    return good, bad
+    raw = F.col(line_col) if preview_chars is None else F.substring(F.col(line_col), 1, preview_chars)
+    good = F.col("error").isNull()
+    return parsed.withColumn("error", reason).select(
+        *[F.when(good, F.col("_p." + f).try_cast(t)).alias(f) for f, t in schema.items()],
+        F.when(~good, raw).alias("raw_line"), "error")
 
 
 def order_per_key(df: DataFrame, key: str, seq: str) -> DataFrame:
@@ -97,7 +106,10 @@ def dead_letter_stream(spark, source_dir: str, schema: dict[str, str], name: str
     from tidemark.streaming.windows import run_available
 
     def write_both(batch_df, batch_id):
-        good, bad = parse_or_dead_letter(batch_df, schema)
+        parsed = parsed_lines(batch_df, schema)
+        work = "%s/parsed/batch=%d" % (root, batch_id)
+        parsed.write.mode("overwrite").parquet(work)                    # parsed once, published from there
+        good, bad = sides(spark.read.schema(parsed.schema).parquet(work), schema)
         good.write.mode("overwrite").parquet("%s/good/batch=%d" % (root, batch_id))
         bad.write.mode("overwrite").parquet("%s/bad/batch=%d" % (root, batch_id))
 
@@ -109,69 +121,158 @@ def dead_letter_stream(spark, source_dir: str, schema: dict[str, str], name: str
 
 
 RETRY_OUTPUT = "message_id string, attempts long, status string"
-RETRY_STATE = "attempts long, done boolean"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def keyed_state(spark) -> None:
+    """Stateful processors need the RocksDB state store, whatever session they run in."""
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass") != ROCKSDB:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-def retry_stream(deliveries: DataFrame, msg_id: str, ok: str, max_attempts: int = 5) -> DataFrame:
-    """T14 on a stream: per message id, state counts failed deliveries; the first
+def _timed(stream: DataFrame, ts: str | None, lateness: str, columns: list) -> tuple[DataFrame, str]:
+    """The stream with its event time as ``event_at`` and the time mode of its state: without an event time
+    (``ts``) state has no timers. Processing time is not used: a bounded run would never end."""
+    if ts is None:
+        return stream.select(*columns, F.lit(0).cast("long").alias("event_ms")), "None"
+    at = F.col(ts).cast("timestamp")
+    timed = stream.select(*columns, at.alias("event_at")).withWatermark("event_at", lateness)
+    return timed.withColumn("event_ms", F.unix_millis("event_at")), "EventTime"
+
+
+def _millis(text: str) -> int:
+    from tidemark.streaming.windows import interval_seconds
+    return int(interval_seconds(text) * 1000)
+
+
+def retry_stream(deliveries: DataFrame, msg_id: str, ok: str, max_attempts: int = 5, ts: str | None = None,
+                 forget_after: str = "1 day", lateness: str = "1 hour") -> DataFrame:
+    """T14 on a stream: state counts the failed deliveries of a message; the first
     successful delivery emits ``acked``, the ``max_attempts``-th failure emits
-    ``dead_letter``; afterwards the message is done and further deliveries are ignored.
-    State is one small row per message id (RocksDB-backed in built sessions)."""
-    from pyspark.sql.streaming.state import GroupState
-
-    def fn(key, pdfs, state: GroupState):
-        import pandas as pd
-        attempts, done = state.get if state.exists else (0, False)
-        out = []
-        for pdf in pdfs:
-            for good in pdf[ok].tolist():
-                if done:
-                    break
-                attempts += 1
-                if good:
-                    out.append((key[0], attempts, "acked"))
-                    done = True
-                elif attempts >= max_attempts:
-                    out.append((key[0], attempts, "dead_letter"))
-                    done = True
-        state.update((attempts, done))
-        if out:
-            yield pd.DataFrame(out, columns=["message_id", "attempts", "status"])
-
-    d = deliveries.select(F.col(msg_id).cast("string").alias("message_id"), F.col(ok).alias(ok))
-    return d.groupBy("message_id").applyInPandasWithState(fn, RETRY_OUTPUT, RETRY_STATE, "append", "NoTimeout")
-
-
-RESEQ_STATE = "next_seq long, held_seq array<long>, held_payload array<string>"
-
-
-def resequence_stream(stream: DataFrame, key: str, seq: str, payload: str, first_seq: int = 1) -> DataFrame:
+    ``dead_letter``, and what is delivered after that is ignored. With an event time (``ts``) a message
+    leaves the state ``forget_after`` its last delivery, finished or not: the state follows
+    the messages of that time, not all there ever were."""
+    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+    horizon = _millis(forget_after)
+    d, mode = _timed(deliveries, ts, lateness, [F.col(msg_id).cast("string").alias("message_id"), F.col(ok).alias("ok")])
+
+    class Attempts(StatefulProcessor):
+        def init(self, handle):
+            self.handle = handle
+            self.seen = handle.getValueState("seen", "failed long, done boolean")
+
+        def handleInputRows(self, key, rows, timerValues):
+            import pandas as pd
+            failed, done = self.seen.get() if self.seen.exists() else (0, False)
+            status, last = None, 0
+            for pdf in rows:
+                last = max(last, int(pdf["event_ms"].max()))
+                for good in pdf["ok"].tolist():
+                    if not done:
+                        failed += 0 if good else 1
+                        status = "acked" if good else "dead_letter" if failed >= max_attempts else None
+                        done = status is not None
+            self.seen.update((failed, done))
+            if mode == "EventTime":
+                for timer in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(timer)
+                self.handle.registerTimer(last + horizon)
+            if status:
+                yield pd.DataFrame({"message_id": [key[0]], "attempts": [failed + (status == "acked")], "status": [status]})
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            self.seen.clear()
+            return iter(())
+
+        def close(self):
+            pass
+
+    keyed_state(deliveries.sparkSession)
+    return d.groupBy("message_id").transformWithStateInPandas(Attempts(), RETRY_OUTPUT, "Append", mode)
+
+
+def resequence_stream(stream: DataFrame, key: str, seq: str, payload: str, first_seq: int = 1, ts: str | None = None,
+                      gap_after: str = "1 hour", lateness: str = "1 hour") -> DataFrame:
     """T13 on a stream: per ordering key, release messages strictly in sequence order.
-    A message that arrives ahead of a gap is held in state until the missing ones
-    arrive; state holds only the out-of-order messages of one key."""
-    from pyspark.sql.streaming.state import GroupState
-
-    def fn(k, pdfs, state: GroupState):
-        import pandas as pd
-        if state.exists:
-            nxt, hs, hp = state.get
-            held = dict(zip(list(hs), list(hp)))
-        else:
-            nxt, held = first_seq, {}
-        for pdf in pdfs:
-            for s, p in zip(pdf["seq"].tolist(), pdf["payload"].tolist()):
-                if s >= nxt:
-                    held[int(s)] = p
-        out = []
-        while nxt in held:
-            out.append((k[0], nxt, held.pop(nxt)))
-            nxt += 1
-        keys = sorted(held)
-        state.update((nxt, keys, [held[s] for s in keys]))
-        if out:
-            yield pd.DataFrame(out, columns=["key", "seq", "payload"])
-
-    s = stream.select(F.col(key).cast("string").alias("key"), F.col(seq).cast("long").alias("seq"),
-                      F.col(payload).cast("string").alias("payload"))
-    return s.groupBy("key").applyInPandasWithState(fn, "key string, seq long, payload string", RESEQ_STATE,
-                                                   "append", "NoTimeout")
+
+    A message ahead of a gap is held, one entry each, until the missing ones arrive. With an event
+    time (``ts``) a gap is given up once the watermark is ``gap_after`` past the newest message held, and the key goes on
+    behind it: one lost message never holds a key, or its state, for ever. A message that
+    comes for a gap given up is dropped, as a repeat is."""
+    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+    wait = _millis(gap_after)
+    s, mode = _timed(stream, ts, lateness, [F.col(key).cast("string").alias("key"), F.col(seq).cast("long").alias("seq"),
+                                            F.col(payload).cast("string").alias("payload")])
+
+    class InOrder(StatefulProcessor):
+        def init(self, handle):
+            self.handle = handle
+            self.next = handle.getValueState("next", "seq long")
+            self.held = handle.getMapState("held", "seq long", "payload string")
+
+        def released(self, key, at):
+            import pandas as pd
+            out = []
+            while self.held.containsKey((at,)):
+                out.append((key[0], at, self.held.getValue((at,))[0]))
+                self.held.removeKey((at,))
+                at += 1
+            self.next.update((at,))
+            return pd.DataFrame(out, columns=["key", "seq", "payload"])
+
+        def ahead(self):
+            return [k[0] for k in self.held.keys()] if self.held.exists() else []
+
+        def handleInputRows(self, key, rows, timerValues):
+            at, last = self.next.get()[0] if self.next.exists() else first_seq, 0
+            for pdf in rows:
+                last = max(last, int(pdf["event_ms"].max()))
+                for s, p in zip(pdf["seq"].tolist(), pdf["payload"].tolist()):
+                    if s >= at:
+                        self.held.updateValue((int(s),), (p,))
+            out = self.released(key, at)
+            if mode == "EventTime" and self.ahead():
+                for timer in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(timer)
+                self.handle.registerTimer(last + wait)
+            if len(out):
+                yield out
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            while ahead := self.ahead():
+                yield self.released(key, min(ahead))
+
+        def close(self):
+            pass
+
+    keyed_state(stream.sparkSession)
+    return s.groupBy("key").transformWithStateInPandas(InOrder(), "key string, seq long, payload string", "Append", mode)
+
+
+def split_late(spark, stream: DataFrame, ts: str, lateness: str, name: str = "late") -> tuple[str, str]:
+    """Rows on time and rows that are late, each appended to its own table.
+
+    A row is late if its event time is more than ``lateness`` behind the greatest event time of the
+    micro-batches before its own: the rule of a watermark, but the late rows are kept. What each
+    micro-batch saw as its greatest event time is a row of a small table beside the checkpoint; all three outputs
+    are keyed by the micro-batch's id, so one that runs again writes the same. Returns (on-time path, late path)."""
+    from tidemark.session import scratch_dir
+    from tidemark.streaming.windows import interval_seconds, run_available
+    root = scratch_dir(spark, name + "-split")
+    wait = F.make_dt_interval(secs=F.lit(interval_seconds(lateness)))
+
+    def write(batch, batch_id):
+        clock = root + "/clock"
+        before = None
+        if files.path_exists(spark, clock):
+            before = spark.read.parquet(clock).where(F.col("batch") < batch_id).agg(F.max("greatest")).first()[0]
+        late = F.lit(False) if before is None else F.coalesce(F.col(ts) < F.lit(before).cast(batch.schema[ts].dataType) - wait,
+                                                              F.lit(False))
+        sides = batch.withColumn("side", F.when(late, "late").otherwise("on_time"))
+        (sides.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("side", "batch").parquet(root + "/rows"))
+        (batch.agg(F.max(ts).alias("greatest")).withColumn("batch", F.lit(batch_id)).coalesce(1)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(clock))
+
+    run_available(spark, stream, name, foreach_batch=write)
+    return root + "/rows/side=on_time", root + "/rows/side=late"

@@ -62,7 +62,7 @@ def session(df: DataFrame, ts: str, gap: str, keys: list[str], bucket_seconds: i
          session starting before the previous one's end joins it - the rule
          ``session_window`` applies to events.
     One lineage, two exchanges; the result equals ``session_window`` per key."""
-    gap_s = _interval_seconds(gap)
+    gap_s = interval_seconds(gap)
     gap_iv = F.expr("INTERVAL %d SECONDS" % gap_s)
     sec = F.unix_seconds(F.col(ts).cast("timestamp"))
     wb = Window.partitionBy(*keys, "_bucket").orderBy(F.col(ts))
@@ -85,7 +85,7 @@ def session(df: DataFrame, ts: str, gap: str, keys: list[str], bucket_seconds: i
                          F.col("n").cast("bigint").alias("n"))
 
 
-def _interval_seconds(text: str) -> int:
+def interval_seconds(text: str) -> int:
     num, unit = text.split()
     mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
     return int(num) * mult
