@@ -3,7 +3,8 @@
 Encodes with a public vocabulary file of merge ranks; the ids equal those of the
 ``tokenizers`` file of the same vocabulary (tests compare the two). The added tokens of that
 file (the .json beside the ranks) are split off first wherever their string stands in a
-text, and have its ids.
+text, and have its ids. A text with a run of ``LONG_BLANKS`` blanks or more, for which the
+pattern of the fast encoder recurses too deep, is encoded by the ``tokenizers`` file itself.
 """
 
 from __future__ import annotations
@@ -11,8 +12,10 @@ from __future__ import annotations
 import base64
 import json
 import os
+import re
 
 _ENCODERS: dict = {}
+LONG_BLANKS = 100_000
 
 
 def default_ranks() -> str:
@@ -48,7 +51,14 @@ def encoder(ranks_path: str):
         for piece, i in [*ranks.items(), *((t.encode(), i) for t, i in added.items())]:
             sizes[i] = len(piece)
 
+        blanks, whole = re.compile(r"\s{%d}" % LONG_BLANKS), []
+
         def encode(text: str) -> list[int]:
+            if len(text) >= LONG_BLANKS and blanks.search(text):
+                if not whole:
+                    from tokenizers import Tokenizer
+                    whole.append(Tokenizer.from_file(os.path.splitext(ranks_path)[0] + ".json"))
+                return whole[0].encode(text, add_special_tokens=False).ids
             if any(t in text for t in added):
                 return e.encode(text, allowed_special="all")
             return e.encode_ordinary(text)

@@ -20,7 +20,7 @@ higher-order functions, and both are joined again. No shuffle.
 
 Defined cases: null texts stay null; texts without matches stay untouched, byte for byte; a
 name of more than 22 letters and digits keeps the permutation for the first 22 and
-hashes the rest; upper and lower case of an e-mail name are one value; whole texts of any length
+hashes the rest; a domain has at most 128 labels; upper and lower case of an e-mail name are one value; whole texts of any length
 are read; extra columns pass through.
 """
 
@@ -28,7 +28,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"
+#: Labels before the last one are at most 126, as in a domain name: the matcher recurses once per label.
+EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++){0,126}\.[A-Za-z]{2,}"
 IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])"
 DATE = (r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})"
         r"(?![0-9])")
