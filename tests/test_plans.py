@@ -16,9 +16,9 @@ from tidemark.sources.layout import plan_text
 def test_rebuild_scan_is_pruned(spark, sf):
     lake, parts, _ = build_lake(spark, sf)
     silver = spark.read.parquet(lake.silver)
-    plan = plan_text(medallion.rebuild_input(silver, [dt.date(2001, 7, 30)], "month"))
-    assert "PartitionFilters: [isnotnull(ingest_date" in plan and "2001-07-01" in plan
-    assert "PushedFilters: [IsNotNull(order_date), GreaterThanOrEqual(order_date,2001-07-01)" in plan
+    plan = plan_text(medallion.rebuild_input(silver, [dt.date(1995, 1, 20), dt.date(1995, 1, 22)], "day"))
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan and ">= 1995-01-20" in plan
+    assert "In(order_date, [1995-01-20,1995-01-22])" in plan
     assert "ReadSchema: struct<order_id:string,country:string,amount:double,updated_at:timestamp,order_date:date>" in plan
 
 
@@ -63,15 +63,16 @@ def test_latest_with_map_payload_falls_back_to_window(spark):
 
 def test_layout_scan_evidence(spark):
     from tidemark.plans import catalog_misc
-    rows = {(r["layout"], r["predicate"]): r for r in
-            catalog_misc.scan_files_touched(spark, "/root/testdata/sf0.01").collect()}
-    month_part = rows[("part", "A_month")]
-    assert month_part["partition_filters"] and month_part["files_with_rows"] == 1 < month_part["total_files"]
-    owner_clust = rows[("clust", "B_owner")]
-    assert owner_clust["files_with_rows"] == 1 < owner_clust["total_files"] and owner_clust["pushed_filters"]
-    # the wrong layout for the question: an owner spread over many month partitions
-    assert rows[("part", "B_owner")]["files_with_rows"] > 1
-    assert len({r["rows"] for (lay, p), r in rows.items() if p == "B_owner"}) == 1   # same answer everywhere
+    got = {(name, p): (m, w) for name, p, m, w in catalog_misc.layout_scans(spark, "/root/testdata/sf0.01")}
+    days, whole = got["part", "A_days"]
+    assert days["partitions_read"] == 11 and whole["partitions_read"] == 81         # one partition a day
+    assert days["files_read"] < whole["files_read"] and days["bytes_read"] < whole["bytes_read"]
+    owner, whole = got["clust", "B_owner"]
+    assert owner["files_read"] == whole["files_read"] and owner["rows_read"] < whole["rows_read"] / 5
+    # the wrong layout for the question: an owner spread over many day partitions
+    assert got["part", "B_owner"][0]["files_read"] == got["part", "B_owner"][1]["files_read"]
+    assert got["part", "B_owner"][0]["rows_read"] > owner["rows_read"]
+    assert len({m["rows"] for (lay, p), (m, w) in got.items() if p == "B_owner"}) == 1   # same answer everywhere
 
 
 def test_metadata_count_uses_footers(spark):

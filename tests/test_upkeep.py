@@ -62,13 +62,13 @@ class Model:
                      for key, told in self.said.items()}
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_batches_in_any_order_equal_brute_force(spark, seed):
     ensure_conf(spark)
     rng = random.Random(seed)
     path, model = scratch_dir(spark, "late") + "/dim", Model()
     keys = [(1, "x"), (1, "y"), (2, None), (None, "x"), (3, "#")]
-    for step in range(6):
+    for step in range(5):
         d = day(1) if step == 0 else day(rng.randint(1, 6))
         batch = {k: (rng.choice(["p", "q", None]), rng.choice([1, None])) for k in keys if rng.random() < 0.7}
         whole = rng.random() < 0.3
@@ -128,7 +128,7 @@ def test_empty_batch(spark):
 VIEW = View(groups=("g", "h"), sums={"total": "v"}, minima={"lo": "v"}, maxima={"hi": "w"})
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 def test_view_from_changes_equals_recompute(spark, seed):
     rng = random.Random(seed)
     draw = lambda: (rng.choice(["a", "b", None]), rng.choice([1, 2]), rng.randint(0, 20), rng.choice([None, rng.randint(0, 9)]))

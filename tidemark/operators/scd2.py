@@ -89,14 +89,14 @@ def refresh_tier_counts(previous: DataFrame, added: DataFrame, removed: DataFram
 
 
 def publish_summary(dim: DataFrame, target: str) -> str:
-    """Current rows counted per tier, written as a whole table (S10), then a
-    non-empty gate (Q4) refuses to publish an empty summary."""
-    from tidemark.operators.gates import GateFailed
+    """Current rows counted per tier; a non-empty gate (Q4) refuses an empty summary before the
+    whole table is replaced (S10), so the last good one stays."""
+    from tidemark.operators.gates import GateFailed, gate_nonempty
+    from tidemark.sources import files
     summary = dim.filter(F.col("is_current")).groupBy("tier").agg(F.count(F.lit(1)).alias("customers"))
-    summary.write.mode("overwrite").parquet(target)
-    if summary.sparkSession.read.parquet(target).isEmpty():
-        raise GateFailed("summary table is empty - refusing to publish")
-    return target
+    if not gate_nonempty(summary):
+        raise GateFailed("no current rows: the summary at %s is left as it is" % target)
+    return files.replace_table(summary, target)
 
 
 def scd2_publish(dim_path: str, staging: DataFrame, key, attrs: list[str], effective,

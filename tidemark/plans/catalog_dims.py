@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import u01
 from tidemark.operators import govern, joins, scd2, versions
+from tidemark.operators.gates import GateFailed
 from tidemark.plans.oracle_feed import U, with_feed
 from tidemark.session import ensure_conf, scratch_dir
 from tidemark.sources.tables import Tables
@@ -169,7 +170,27 @@ def as_of_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
 
 
+def published_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary per tier, published twice; an empty dimension is refused and the table stays."""
+    ensure_conf(spark)
+    path = scratch_dir(spark, "summary") + "/tiers"
+    dim = dim_day2(spark, sf_dir)
+    scd2.publish_summary(dim_day1(spark, sf_dir), path)
+    scd2.publish_summary(dim, path)
+    try:
+        scd2.publish_summary(dim.filter(F.lit(False)), path)
+        raise AssertionError("an empty summary was published")
+    except GateFailed:
+        return spark.read.parquet(path)
+
+
 # ----------------------------------------------------------- governance
+def plain_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view over the current rows, queried by name."""
+    govern.create_view(spark, "current_customers", dim_day2(spark, sf_dir).filter("is_current").drop("is_current", "valid_to"))
+    return spark.sql("SELECT city, count(*) AS customers, max(valid_from) AS newest FROM current_customers GROUP BY city")
+
+
 def row_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1: the analyst's policy (city = 'NATION_1') over the whole dimension."""
     return govern.apply_row_policy(dim_day2(spark, sf_dir), POLICIES, "analyst")
@@ -189,7 +210,7 @@ def column_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in [
     scd2_init, scd2_apply, scd2_inserts, scd2_expires, dim_as_of, fact_as_of_join, tier_rank, tier_summary,
     delete_rows, snapshot_clone, as_of_version, restore_rows, rollback_version, as_of_log,
-    row_policy, authorized_view, column_mask]}
+    row_policy, authorized_view, column_mask, published_summary, plain_view]}
 
 
 def _h(*cols):
@@ -254,6 +275,9 @@ ORACLE = {
     "as_of_version": DIM_CTES + "SELECT %s FROM dim" % DIM_COLS,
     "restore_rows": DIM_CTES + "SELECT %s FROM dim" % DIM_COLS,
     "rollback_version": DIM_CTES + "SELECT %s FROM dim" % DIM_COLS,
+    "published_summary": DIM_CTES + "SELECT tier, count(*) AS customers FROM dim WHERE is_current GROUP BY tier",
+    "plain_view": DIM_CTES + """SELECT city, count(*) AS customers, max(valid_from) AS newest FROM dim
+        WHERE is_current GROUP BY city""",
     "row_policy": DIM_CTES + "SELECT %s FROM dim WHERE city = 'NATION_1'" % DIM_COLS,
     "authorized_view": DIM_CTES + "SELECT customer_id, name, tier FROM dim WHERE city = 'NATION_1' AND is_current",
     "column_mask": DIM_CTES + "SELECT customer_id, md5(name) AS name, tier FROM dim WHERE is_current",
