@@ -9,10 +9,10 @@ A byte goes when it is covered by a ``length``-byte string that also starts earl
 2. A segment that occurs more than once is settled by counting, combined map-side: copies
    of documents, however many, end here. Anchors with one occurrence end here too.
 3. Where an anchor has several different segments, one of each is fetched and its bytes join a
-   block of at most ``block_bytes``. A block's suffixes are ordered by prefix doubling; a run of
-   neighbours sharing ``length`` bytes holds, for every position but its smallest, a
-   previous or next smaller position in suffix order: that position's longest previous
-   factor reaches ``length``.
+   block of at most ``block_bytes``. A block's suffixes are ordered by prefix doubling; the
+   previous and the next smaller position in that order are the earlier places that share
+   most with a position, and the longer of the two matches is its longest previous
+   factor. Where that reaches ``length``, the string also starts earlier, and its source later.
 4. An anchor with more segments than a block holds is split over blocks by segment hash; what its
    blocks have not settled is compared across them by window hash, so nothing is lost.
 
@@ -34,6 +34,7 @@ from tidemark.llm.ngram_join import _mix, _powers
 GRAM = 32
 STARTS = 1 << 18                       # window starts worked on at a time
 PLACE = 20                             # bits of a place within a piece
+WORD = 7                               # symbols of nine bits in a first sorting key
 
 
 def _range_hash(run, up, lo, hi):
@@ -97,32 +98,120 @@ def _map_segments(length: int):
     return scan
 
 
-def suffix_runs(data, length: int):
-    """(order, run): positions in the order of their first ``length`` symbols and the number
-    of the run of equal ones each belongs to. ``data``: small non-negative integers; every
-    position past the end reads as smaller than any symbol."""
+def suffix_order(data, length: int):
+    """(order, levels): positions in the order of their first ``length`` symbols, and for each
+    step of the doubling (symbols, rank): equal ranks, equal first symbols. ``data``: integers
+    from 1 to 511 (0 parts strings); every position past the end reads as 0. Only positions whose rank is still
+    shared are sorted again."""
     import numpy as np
     n = len(data)
-    rank = np.asarray(data, np.int64)
-
-    def refine(rank, step):
-        nxt = np.zeros(n, np.int64)
-        if step < n:
-            nxt[:n - step] = rank[step:] + 1
-        both = rank * np.int64(max(int(nxt.max(initial=0)), int(rank.max(initial=0))) + 2) + nxt
-        order = np.argsort(both, kind="stable")
-        new = np.append(True, both[order][1:] != both[order][:-1]) if n else np.zeros(0, bool)
-        out = np.empty(n, np.int64)
-        out[order] = np.cumsum(new) - 1
-        return out, order, new
-    have = 1
-    order, new = np.argsort(rank, kind="stable"), None
+    key = np.zeros(n, np.int64)
+    for k in range(WORD):
+        key <<= 9
+        key[:max(0, n - k)] |= data[k:]
+    order = np.argsort(key)
+    key = key[order]
+    new = np.append(True, key[1:] != key[:-1])[:n]
+    rank = np.empty(n, np.int32)
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    levels, have = [(WORD, rank)], WORD
     while have < length:
-        rank, order, new = refine(rank, min(have, length - have))
-        have = min(2 * have, length)
-    if new is None:
-        new = np.append(True, rank[order][1:] != rank[order][:-1])
-    return order, np.cumsum(new) - 1
+        step = min(have, length - have)
+        slot = np.flatnonzero(~(new & np.append(new[1:], True)))
+        at = order[slot]
+        both = rank[at].astype(np.int64) * (n + 1)
+        inside = at + step < n
+        both[inside] += rank[at[inside] + step] + 1
+        by = np.argsort(both)
+        order[slot], both = at[by], both[by]
+        fresh = np.append(True, both[1:] != both[:-1])[:len(slot)]
+        new[slot] = fresh
+        rank = rank.copy()
+        rank[order[slot]] = np.maximum.accumulate(np.where(fresh, slot, 0))
+        have += step
+        levels.append((have, rank))
+    return order, levels
+
+
+def shared_length(data, levels, i, j, length: int):
+    """How many symbols, ``length`` at most, the suffixes at ``i`` and ``j`` share (0 where one is -1)."""
+    import numpy as np
+    n, sound = len(data), (i >= 0) & (j >= 0)
+    whole = np.zeros(len(i), bool)
+    whole[sound] = levels[-1][1][i[sound]] == levels[-1][1][j[sound]]
+    out = np.where(whole, np.minimum(length, n - np.maximum(i, j)), 0)
+    rest = np.flatnonzero(sound & ~whole)
+    i, j, far = i[rest], j[rest], np.maximum(i[rest], j[rest])
+    got, top = np.zeros(len(rest), np.int64), np.zeros(len(rest), np.int8)
+    look = np.arange(len(rest))
+    for k, (step, rank) in enumerate(levels[:-1]):             # up while ranks agree, then down behind that
+        look = look[rank[i[look]] == rank[j[look]]]
+        got[look], top[look] = step, k + 1
+    for k in range(len(levels) - 3, -1, -1):
+        step, rank = levels[k]
+        look = np.flatnonzero((top > k + 1) & (far + got < n))
+        look = look[rank[i[look] + got[look]] == rank[j[look] + got[look]]]
+        got[look] += step
+    same = np.ones(len(rest), bool)
+    for _ in range(WORD - 1):
+        same &= far + got < n
+        same[same] = data[i[same] + got[same]] == data[j[same] + got[same]]
+        got[same] += 1
+    out[rest] = np.minimum(np.minimum(got, length), n - far)
+    return out
+
+
+def previous_smaller(values, jumps: int = 12):
+    """The nearest index to the left with a smaller value, or -1, for each of distinct ``values``.
+    Pointers jump over what is larger; the few that are not there after ``jumps``
+    rounds search a pyramid of minima, so no order of the values is a slow one."""
+    import numpy as np
+    n = len(values)
+    prev = np.arange(n) - 1
+    todo = np.flatnonzero(values[prev] > values)               # the first one looks at the last: undone below
+    todo = todo[todo > 0]
+    for _ in range(jumps):
+        if not len(todo):
+            return prev
+        prev[todo] = prev[prev[todo]]
+        todo = todo[prev[todo] >= 0]
+        todo = todo[values[prev[todo]] > values[todo]]
+    low = [values]
+    while len(low[-1]) > 1:
+        pad = np.append(low[-1], low[-1][-1:]) if len(low[-1]) % 2 else low[-1]
+        low.append(pad.reshape(-1, 2).min(1))
+    end, want = prev[todo].copy(), values[todo]                # all from end on is known to be larger
+    block, level = np.full(len(todo), -1), np.zeros(len(todo), np.int64)
+    for k, least in enumerate(low):
+        look = np.flatnonzero((block < 0) & (end % 2 == 1))
+        hit = least[end[look] - 1] < want[look]
+        block[look[hit]], level[look[hit]] = end[look[hit]] - 1, k
+        end >>= 1
+    for k in range(len(low) - 1, 0, -1):
+        down = np.flatnonzero((block >= 0) & (level >= k))
+        right = np.minimum(2 * block[down] + 1, len(low[k - 1]) - 1)
+        block[down] = np.where(low[k - 1][right] < want[down], right, 2 * block[down])
+    prev[todo] = block
+    return prev
+
+
+def previous_factors(data, length: int):
+    """(lpf, sources, levels): how long a string, ``length`` at most, starts at each position and
+    also earlier; the previous and the next smaller position in suffix order, where such a
+    string starts (-1: none)."""
+    import numpy as np
+    n = len(data)
+    order, levels = suffix_order(data, length)
+    lpf, sources = np.zeros(n, np.int64), []
+    for turn in (slice(None), slice(None, None, -1)):
+        along = order[turn]
+        prev = previous_smaller(along)
+        source = np.full(n, -1)
+        source[along] = np.where(prev >= 0, along[prev], -1)
+        shared = shared_length(data, levels, np.arange(n), source, length)
+        lpf = np.maximum(lpf, shared)
+        sources.append(np.where(shared > 0, source, -1))
+    return lpf, sources, levels
 
 
 def repeated_starts(parts: list[bytes], ranks, length: int):
@@ -133,23 +222,17 @@ def repeated_starts(parts: list[bytes], ranks, length: int):
     order_in = np.argsort(ranks, kind="stable")
     sizes = np.array([len(parts[k]) for k in order_in])
     at = np.concatenate(([0], np.cumsum(sizes + 1)))
-    data = np.zeros(at[-1], np.int64)
+    data, left = np.zeros(at[-1], np.int16), np.zeros(at[-1], np.int64)
     for k, o in zip(order_in, at):
-        data[o:o + len(parts[k])] = np.frombuffer(parts[k], np.uint8).astype(np.int64) + 1
-    # windows that cross the end of a string are no windows
-    sound = np.zeros(len(data), bool)
-    for n, o in zip(sizes, at):
-        sound[o:o + max(0, n - length + 1)] = True
-    order, run = suffix_runs(data, length)
-    keep = sound[order]
-    order, run = order[keep], run[keep]
-    first = np.flatnonzero(np.append(True, run[1:] != run[:-1])) if len(run) else np.zeros(0, int)
-    count = np.diff(np.append(first, len(run)))
-    least = np.minimum.reduceat(order, first) if len(run) else order
-    other, earlier, cls = np.zeros(len(data), bool), np.zeros(len(data), bool), np.full(len(data), -1, np.int64)
-    other[order] = np.repeat(count > 1, count)
-    earlier[order] = order > np.repeat(least, count)
-    cls[order] = np.repeat(np.arange(len(first)), count)
+        data[o:o + len(parts[k])] = np.frombuffer(parts[k], np.uint8).astype(np.int16) + 1
+        left[o:o + len(parts[k])] = np.arange(len(parts[k]), 0, -1)
+    lpf, sources, levels = previous_factors(data, length)
+    earlier = np.minimum(lpf, left) >= length                  # a factor ends with its string
+    other, cls = earlier.copy(), levels[-1][1]
+    for source in sources:                                     # and its source has a later copy
+        held = source[earlier]
+        held = held[held >= 0]
+        other[held[cls[held] == cls[np.flatnonzero(earlier)[source[earlier] >= 0]]]] = True
     offset = np.empty(len(parts), np.int64)
     offset[order_in] = at[:-1]
     return other, earlier, cls, offset
