@@ -19,13 +19,47 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return "%s/llm/%s-%s" % (checkpoint_root(spark), name, uuid.uuid4().hex[:12])
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to a fresh shared table and read back: cuts the lineage, and a
-    lost executor costs only the reader's own tasks."""
+    lost executor costs only the reader's own tasks. The shuffle files of the write go with it."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path, before = scratch_path(spark, name), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._saved_at = path
+    return out
+
+
+class Rounds:
+    """The shared tables of a loop: a table goes when the next one of its name is written."""
+
+    def __init__(self) -> None:
+        self.held: dict = {}
+
+    def saved(self, df: DataFrame, name: str) -> DataFrame:
+        out = saved(df, name)
+        self.drop(name)
+        self.held[name] = out
+        return out
+
+    def drop(self, *names: str) -> None:
+        """Remove the named tables that this loop wrote (all of them without names)."""
+        for name in names or list(self.held):
+            out = self.held.pop(name, None)
+            if out is not None:
+                jvm = out.sparkSession.sparkContext._jvm
+                path = jvm.org.apache.hadoop.fs.Path(out._saved_at)
+                path.getFileSystem(out.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def free_names(names, taken, suffix: str) -> list[str]:
@@ -71,7 +105,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     node id of its component. No links or components reach the driver; only a count and
     a checksum per round do."""
     e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
-    e = saved(e, "edges")
+    rounds = Rounds()
+    e = rounds.saved(e, "edges")
 
     def stamp(x):
         return tuple(x.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
@@ -94,7 +129,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     before = None
     while True:
-        e = saved(star(star(e, True), False), "stars")
+        e = rounds.saved(star(star(e, True), False), "edges")
         now = stamp(e)
         if now == before:
             break

@@ -13,8 +13,9 @@
    n-grams from the common one on bound the overlap, so most lists yield few candidates.
 4. Only components are asked for, so pairs already connected are never compared: rounds
    pair each set with the pivot of one of its prefix lists (a star, one pair per set), merge
-   what links, and drop the lists that have become one component. The exact end compares all pairs of
-   different components in the remaining lists, each distinct list once.
+   what links, and drop the lists that have become one component. The exact end compares the pairs of
+   different components in the remaining lists, each distinct list once; parity bits of the
+   sets bound what two of them do not share, so that sets that are alike but too far apart to link make no rows.
 
 No list is collected: pivots and list signatures are aggregates combined map-side, and
 the joins back are plain equi-joins that adaptive execution splits when a list is hot.
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import components, saved
+from tidemark.llm.common import Rounds, components, saved
 
 _LOWER = bytes(32 if c == 32 or 9 <= c <= 13 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Odd multipliers of the polynomial hash and the finaliser's shifts. Fixed values.
@@ -161,7 +162,6 @@ def _segment(words: int, heavy, keys: list[int]):
             h = np.concatenate([x[2] for x in held]) if held else np.zeros(0, np.uint64)
             which = np.repeat(np.arange(len(held)), [len(x[2]) for x in held])
             sid = np.array([x[0] for x in held], np.int64)
-            n = np.array([x[1] for x in held], np.int32)
             frag = (h % np.uint64(frags)).astype(np.int32)
             order = np.argsort(frag, kind="stable")
             cuts = np.searchsorted(frag[order], np.arange(frags + 1))
@@ -169,8 +169,8 @@ def _segment(words: int, heavy, keys: list[int]):
                 at = order[cuts[f]:cuts[f + 1]]
                 who, runs = np.unique(which[at], return_counts=True)
                 rest = (h[at] // np.uint64(frags)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-                rows.append((1, keys[f], None, len(who), None, sid[who].tobytes() + n[who].tobytes()
-                             + runs.astype(np.int32).tobytes() + rest.tobytes()))
+                head, m = _runs(sid[who], runs)
+                rows.append((1, keys[f], None, m, None, head + rest.tobytes()))
 
         def batch():
             cols = list(zip(*rows)) if rows else [[]] * 6
@@ -204,22 +204,23 @@ def _segment(words: int, heavy, keys: list[int]):
     return cut
 
 
-def _unpack(rows):
-    """(hash, set id, set size) entries of packed segments."""
+def _runs(values, runs) -> tuple[bytes, int]:
+    """Run-length form of repeated 64-bit values and its number of runs (each of 255 at most, one byte)."""
     import numpy as np
-    h, s, n = [], [], []
-    for m, raw in rows:
-        sid = np.frombuffer(raw, np.int64, m)
-        size = np.frombuffer(raw, np.int32, m, 8 * m)
-        runs = np.frombuffer(raw, np.int32, m, 12 * m)
-        rest = np.zeros((int(runs.sum()), 8), np.uint8)
-        rest[:, :6] = np.frombuffer(raw, np.uint8, -1, 16 * m).reshape(-1, 6)
-        h.append(rest.view("<u8").ravel())
-        s.append(np.repeat(sid, runs))
-        n.append(np.repeat(size, runs))
-    if not h:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-    return np.concatenate(h), np.concatenate(s), np.concatenate(n)
+    cuts = -(-runs // 255)
+    short = np.full(int(cuts.sum()), 255, np.uint8)
+    short[np.cumsum(cuts) - 1] = runs - 255 * (cuts - 1)
+    return np.repeat(values, cuts).tobytes() + short.tobytes(), len(short)
+
+
+def _unpack(m: int, raw: bytes, tail: int):
+    """(48-bit remainders, set ids) of a packed segment of ``m`` runs with ``tail`` bytes behind an entry."""
+    import numpy as np
+    runs = np.frombuffer(raw, np.uint8, m, 8 * m)
+    total = int(runs.sum())
+    rest = np.zeros((total, 8), np.uint8)
+    rest[:, :6] = np.frombuffer(raw, np.uint8, 6 * total, 9 * m).reshape(-1, 6)
+    return rest.view("<u8").ravel(), np.repeat(np.frombuffer(raw, np.int64, m), runs), raw[len(raw) - tail * total:]
 
 
 def _count_fragment(keys: list[int]):
@@ -236,32 +237,35 @@ def _count_fragment(keys: list[int]):
             if other.num_rows:
                 yield other
             for m, raw in zip(*[b.filter(pa.array(kind == 1)).column(k).to_pylist() for k in (3, 5)]):
-                packed.append((m, raw))
-        h, s, n = _unpack(packed)
+                packed.append(_unpack(m, raw, 0)[:2])
+        h, s = (np.concatenate([x[k] for x in packed]) if packed else np.zeros(0, t)
+                for k, t in enumerate((np.uint64, np.int64)))
         packed.clear()
         order = np.argsort(h, kind="stable")
-        h, s, n = h[order], s[order], n[order]
+        h, s = h[order], s[order]
         new = np.flatnonzero(np.diff(h, prepend=h[:1] ^ np.uint64(1)) != 0) if len(h) else np.zeros(0, int)
         many = np.repeat(np.diff(np.append(new, len(h))) > 1, np.diff(np.append(new, len(h))))
-        h, s, n = h[many], s[many], n[many]                   # one set in two tasks still counts twice here
+        h, s = h[many], s[many]                               # one set in two tasks still counts twice here
         order = np.lexsort((s, h))
-        h, s, n = h[order], s[order], n[order]
+        h, s = h[order], s[order]
         fresh = np.ones(len(h), bool)
         fresh[1:] = (h[1:] != h[:-1]) | (s[1:] != s[:-1])
-        h, s, n = h[fresh], s[fresh], n[fresh]
+        h, s = h[fresh], s[fresh]
         new = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, int)
         df = np.diff(np.append(new, len(h)))
         df = np.repeat(df, df).astype(np.int32)
-        h, s, n, df = (x[df > 1] for x in (h, s, n, df))
+        h, s, df = (x[df > 1] for x in (h, s, df))
         frag = (s % frags).astype(np.int32)
-        order = np.argsort(frag, kind="stable")
+        order = np.lexsort((s, frag))
         cuts = np.searchsorted(frag[order], np.arange(frags + 1))
         rows = []
-        h = h * np.uint64(frags) + np.uint64(mine)             # fragments stay apart
         for f in np.flatnonzero(np.diff(cuts)):
             at = order[cuts[f]:cuts[f + 1]]
-            rows.append((1, keys[f], None, len(at), None, s[at].tobytes() + h[at].tobytes() + n[at].tobytes()
-                         + df[at].tobytes()))
+            who, runs = np.unique(s[at], return_counts=True)
+            head, m = _runs(who, runs)
+            rest = h[at].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+            count = df[at].astype("<i4").view(np.uint8).reshape(-1, 4).T        # mostly zeros, byte by byte
+            rows.append((1, keys[f], mine, m, None, head + rest.tobytes() + count.tobytes()))
         cols = list(zip(*rows)) if rows else [[]] * 6
         kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
@@ -269,49 +273,68 @@ def _count_fragment(keys: list[int]):
     return count
 
 
-SETS = "kind int, doc_id long, n int, sid long, shared array<long>, prefix array<long>"
+SETS = "kind int, doc_id long, n int, sid long, shared array<long>, prefix array<long>, bits array<long>"
 
 
-def _prefixes(threshold: int):
+def _parities(h, cut, n):
+    """For each set ``h[cut[k]:cut[k + 1]]``: bits that say whether an odd number of its n-grams fall
+    on them. There are four to eight per n-gram of the set, a power of two of words."""
+    import numpy as np
+    words = 2 ** np.ceil(np.log2(np.maximum(n / 16, 1))).astype(np.int64)
+    at = np.concatenate(([0], np.cumsum(words)))
+    out = np.zeros(at[-1], np.uint64)
+    runs = np.diff(np.append(cut, len(h)))
+    h = _mix(h.view(np.uint64))
+    word = (h >> np.uint64(6)).astype(np.int64) & np.repeat(words - 1, runs)
+    np.bitwise_xor.at(out, np.repeat(at[:-1], runs) + word, np.uint64(1) << (h & np.uint64(63)))
+    return out.view(np.int64), at
+
+
+def _prefixes(threshold: int, frags: int):
     """One task's sets: order their shared n-grams, keep sets whose prefix holds one."""
     def order_sets(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
-        kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-        names = ["kind", "doc_id", "n", "sid", "shared", "prefix"]
-        h, s, n, df = [], [], [], []
+        kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int64(), *[pa.list_(pa.int64())] * 3)
+        names = ["kind", "doc_id", "n", "sid", "shared", "prefix", "bits"]
+        h, s, df, ids, sizes = [], [], [], [], []
         for b in batches:
             kind = b.column(0).to_numpy(zero_copy_only=False)
             members = b.filter(pa.array(kind == 0))
             if members.num_rows:
+                named = members.filter(members.column(4).is_valid())
+                ids.append(named.column(4).to_numpy())
+                sizes.append(named.column(3).to_numpy())
                 none = pa.nulls(members.num_rows, kinds[4])
-                yield pa.RecordBatch.from_arrays([members.column(k) for k in (0, 2, 3, 4)] + [none, none], names)
-            for k, m, sid, raw in zip(*[b.filter(pa.array(kind > 0)).column(c).to_pylist() for c in (0, 3, 4, 5)]):
+                yield pa.RecordBatch.from_arrays([members.column(k) for k in (0, 2, 3, 4)] + [none] * 3, names)
+            for k, frag, m, sid, raw in zip(*[b.filter(pa.array(kind > 0)).column(c).to_pylist() for c in (0, 2, 3, 4, 5)]):
                 if k == 1:
-                    s.append(np.frombuffer(raw, np.int64, m))
-                    h.append(np.frombuffer(raw, np.uint64, m, 8 * m))
-                    n.append(np.frombuffer(raw, np.int32, m, 16 * m))
-                    df.append(np.frombuffer(raw, np.int32, m, 20 * m))
+                    rest, who, count = _unpack(m, raw, 4)
+                    h.append(rest * np.uint64(frags) + np.uint64(frag))        # fragments stay apart
+                    s.append(who)
+                    df.append(np.frombuffer(count, np.uint8).reshape(4, -1).T.copy().view("<i4").ravel())
                 else:                                          # heavy n-grams: last in the order
                     h.append(np.unique(np.frombuffer(raw, np.uint64)))
                     s.append(np.full(len(h[-1]), sid, np.int64))
-                    n.append(np.full(len(h[-1]), m, np.int32))
                     df.append(np.full(len(h[-1]), 2 ** 31 - 1, np.int32))
         if not h:
             return
-        h, s, n, df = (np.concatenate(x) for x in (h, s, n, df))
+        h, s, df, ids, sizes = (np.concatenate(x) for x in (h, s, df, ids, sizes))
         order = np.lexsort((h, df, s))
-        h, s, n = h[order], s[order], n[order]
+        h, s = h[order], s[order]
         fresh = np.ones(len(h), bool)                          # a set's heavy row may come from several tasks
         fresh[1:] = (h[1:] != h[:-1]) | (s[1:] != s[:-1])
-        h, s, n = h[fresh].view(np.int64), s[fresh], n[fresh]
+        h, s = h[fresh].view(np.int64), s[fresh]
+        ids, first = np.unique(ids, return_index=True)         # a set's rows come to the task of its members
+        n = sizes[first][np.searchsorted(ids, s)]
         cut = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
+        bits, at = _parities(h, cut, n[cut])
         rows = []
-        for lo, hi in zip(cut, np.append(cut[1:], len(s))):
+        for k, (lo, hi) in enumerate(zip(cut, np.append(cut[1:], len(s)))):
             size = int(n[lo])
             take = size - -(-threshold * size // 100) + 1 - (size - int(hi - lo))
             if take > 0:
-                rows.append((1, None, size, int(s[lo]), h[lo:hi], h[lo:min(hi, lo + take)]))
+                rows.append((1, None, size, int(s[lo]), h[lo:hi], h[lo:min(hi, lo + take)], bits[at[k]:at[k + 1]]))
         for k in range(0, len(rows), 2000):
             cols = list(zip(*rows[k:k + 2000]))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names)
@@ -334,7 +357,7 @@ def shared_sets(docs: DataFrame, id_col: str, text_col: str, words: int, thresho
     keys = _fragment_keys(spark, parts)
     cut = src.mapInArrow(_segment(words, heavy, keys), SEGMENTS).repartition(parts, "frag")
     dealt = cut.mapInArrow(_count_fragment(keys), SEGMENTS).repartition(parts, "frag")
-    return saved(dealt.mapInArrow(_prefixes(threshold), SETS), "sets")
+    return saved(dealt.mapInArrow(_prefixes(threshold, parts), SETS), "sets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: int, fragments: int) -> DataFrame:
@@ -353,7 +376,19 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: int, fragments: int)
     return total.where(100 * F.col("o") >= threshold * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
 
 
-def set_components(sets: DataFrame, threshold: int, fragments: int) -> DataFrame:
+def _differ(a, b) -> F.Column:
+    """At least so many n-grams are in one of two sets alone: each parity that differs needs one
+    (bits of the larger set are folded to the size of the smaller; 0 where sizes are further apart)."""
+    k = F.least(F.size(a), F.size(b))
+
+    def fold(x):
+        return F.when(F.size(x) == k, x).otherwise(
+            F.zip_with(F.slice(x, 1, k), F.slice(x, k + 1, k), lambda p, q: p.bitwiseXOR(q)))
+    odd = F.aggregate(F.zip_with(fold(a), fold(b), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, x: s + x)
+    return F.when(F.greatest(F.size(a), F.size(b)) <= 2 * k, odd).otherwise(0)
+
+
+def set_components(sets: DataFrame, threshold: int, fragments: int, rounds: Rounds) -> DataFrame:
     """(sid, comp): the connected component of every set that has a shared prefix."""
     # sizes allow it, and so do the shared n-grams from this one on, which bound the overlap: a
     # similar pair meets in the list of its first common n-gram, and none of its overlap lies before
@@ -363,9 +398,9 @@ def set_components(sets: DataFrame, threshold: int, fragments: int) -> DataFrame
     entry = sets.select("sid", "n", F.size("shared").alias("r"), F.posexplode("prefix").alias("pos", "h"),
                         F.col("sid").alias("comp"))
     crowd = F.col("lo") < F.col("hi")
-    e = saved(entry.join(entry.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    e = rounds.saved(entry.join(entry.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                          .where(crowd).select("h"), "h", "left_semi"), "entries")
-    label = saved(e.select("sid", "comp").distinct(), "labels")
+    label = rounds.saved(e.select("sid", "comp").distinct(), "labels")
     turn, before = 0, None
     while True:
         turn += 1
@@ -379,14 +414,14 @@ def set_components(sets: DataFrame, threshold: int, fragments: int) -> DataFrame
                 .where((F.col("comp") != F.col("comp2")) & close))
         star = star.groupBy("sid", "comp").agg(
             F.min_by(F.struct("sid2", "comp2"), F.xxhash64("sid", "sid2", F.lit(turn))).alias("one"))
-        links = _links(star.select("sid", "comp", "one.*"), sets, threshold, fragments)
-        e, label, merged = _merge(e, label, links)
+        links = _links(star.select("sid", "comp", "one.*"), sets, threshold, fragments, rounds)
+        e, label, merged = _merge(e, label, links, rounds)
         # members and pairs of different components in the lists left, each distinct list once
         per = e.groupBy("h", "comp").agg(F.count("*").alias("k"), F.sum(F.xxhash64("sid").cast("decimal(38,0)"))
                                          .alias("s1"), F.expr("bit_xor(xxhash64(sid, 7))").alias("s2"))
         per = per.groupBy("h").agg(F.count("*").alias("comps"), F.sum("k").alias("k"), F.sum("s1").alias("s1"),
                                    F.expr("bit_xor(s2)").alias("s2"), F.sum(F.col("k") * F.col("k")).alias("kk"))
-        per = saved(per.where("comps > 1").drop("comps"), "lists")
+        per = rounds.saved(per.where("comps > 1").drop("comps"), "lists")
         once = per.groupBy("k", "s1", "s2", "kk").agg(F.min("h").alias("list"))
         pairs, members = once.agg(F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2), F.sum("k")).first()
         if not members:
@@ -396,34 +431,37 @@ def set_components(sets: DataFrame, threshold: int, fragments: int) -> DataFrame
         before = pairs
     # lists with the same members are one; a set counts from its earliest n-gram among them
     lists = per.join(once, ["k", "s1", "s2", "kk"]).select("h", "list")
-    e = saved(e.join(lists, "h").groupBy("list", "sid", "n", "r", "comp").agg(F.min("pos").alias("pos")), "rest")
-    other = e.select("list", *[F.col(c).alias(c + "2") for c in ("sid", "n", "r", "pos", "comp")])
+    e = e.join(lists, "h").groupBy("list", "sid", "n", "r", "comp").agg(F.min("pos").alias("pos"))
+    e = rounds.saved(e.join(sets.select("sid", "bits"), "sid"), "rest")
+    other = e.select("list", *[F.col(c).alias(c + "2") for c in ("sid", "n", "r", "pos", "comp", "bits")])
+    alone = F.col("n") - F.col("r") + F.col("n2") - F.col("r2") + _differ(F.col("bits"), F.col("bits2"))
+    close &= (100 + threshold) * alone <= (100 - threshold) * (F.col("n") + F.col("n2"))
     cross = e.join(other, "list").where((F.col("sid") < F.col("sid2")) & (F.col("comp") != F.col("comp2")) & close)
-    _, label, _ = _merge(None, label, _links(cross, sets, threshold, fragments))
+    _, label, _ = _merge(None, label, _links(cross, sets, threshold, fragments, rounds), rounds)
     return label
 
 
-def _links(candidates: DataFrame, sets: DataFrame, threshold: int, fragments: int) -> DataFrame:
+def _links(candidates: DataFrame, sets: DataFrame, threshold: int, fragments: int, rounds: Rounds) -> DataFrame:
     """Links between components, from candidate rows (sid, comp, sid2, comp2)."""
     flip = F.col("sid") < F.col("sid2")
     pairs = candidates.select(
         F.least("sid", "sid2").alias("a"), F.greatest("sid", "sid2").alias("b"),
         F.when(flip, F.col("comp")).otherwise(F.col("comp2")).alias("ca"),
         F.when(flip, F.col("comp2")).otherwise(F.col("comp")).alias("cb")).distinct()
-    pairs = saved(pairs, "pairs")
+    pairs = rounds.saved(pairs, "pairs")
     ok = verified(pairs.select("a", "b"), sets, threshold, fragments)
-    return saved(pairs.join(ok, ["a", "b"], "left_semi").select(
+    return rounds.saved(pairs.join(ok, ["a", "b"], "left_semi").select(
         F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct(), "links")
 
 
-def _merge(e, label: DataFrame, links: DataFrame):
+def _merge(e, label: DataFrame, links: DataFrame, rounds: Rounds):
     if links.isEmpty():
         return e, label, False
-    roots = saved(components(links), "roots").withColumnRenamed("node", "comp")
+    roots = rounds.saved(components(links), "roots").withColumnRenamed("node", "comp")
 
     def moved(x, name):
         cols = [F.coalesce("root", "comp").alias("comp") if c == "comp" else F.col(c) for c in x.columns]
-        return saved(x.join(roots, "comp", "left").select(*cols), name)
+        return rounds.saved(x.join(roots, "comp", "left").select(*cols), name)
     return (None if e is None else moved(e, "entries")), moved(label, "labels"), True
 
 
@@ -432,11 +470,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     min_heavy: int = 64) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row; ``threshold`` is in percent."""
     table = shared_sets(docs, id_col, text_col, words, threshold, heavy_share, min_heavy)
-    sets = table.where("kind = 1").select("sid", "n", "shared", "prefix")
-    label = set_components(sets, threshold, fragments)
+    sets = table.where("kind = 1").select("sid", "n", "shared", "prefix", "bits")
+    rounds = Rounds()
+    label = set_components(sets, threshold, fragments, rounds)
     member = table.where("kind = 0").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "sid")
     member = saved(member.join(label, "sid", "left").select(
         "doc_id", "n_shingles", F.coalesce("comp", "sid").alias("comp")), "members")
+    rounds.drop()
     least = member.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
     return member.join(least, "comp", "left").select(
         "doc_id", "n_shingles", F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("least"))
