@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.plans.oracle_feed import with_feed, with_raw
+from tidemark.plans.oracle_feed import feed_ctes, with_feed, with_raw
 
 #: The last whole day of orders, and the layers as they are when it is the last partition processed.
 _DAY = "(SELECT max(order_date) - 1 FROM silver)"
@@ -131,13 +131,14 @@ SELECT order_date, country, orders, revenue FROM truth""")
 SELECT order_date, country, t.orders AS truth_orders, t.revenue AS truth_revenue,
        g.orders AS gold_orders, g.revenue AS gold_revenue
 FROM truth t FULL OUTER JOIN gold g USING (order_date, country)""")
-    q["reconcile_summary"] = with_feed("""
+    q["reconcile_summary"] = "WITH " + feed_ctes("month", 1) + """
 SELECT count(*) AS cells_compared,
        count(*) FILTER (WHERE g.orders IS NULL OR t.orders IS NULL) AS cells_missing_on_one_side,
        count(*) FILTER (WHERE g.orders != t.orders) AS order_count_mismatches,
        count(*) FILTER (WHERE abs(g.revenue - t.revenue) > 0.01) AS revenue_mismatches_over_1_cent,
-       round(coalesce(max(abs(g.revenue - t.revenue)), 0.0), 6) AS max_revenue_diff
-FROM truth t FULL OUTER JOIN gold g USING (order_date, country)""")
+       round(coalesce(max(abs(g.revenue - t.revenue)), 0.0), 6) AS max_revenue_diff,
+       CAST(sum(t.orders) AS BIGINT) AS truth_orders, CAST(sum(g.orders) AS BIGINT) AS gold_orders
+FROM truth t FULL OUTER JOIN gold g USING (order_date, country)"""
     q["gen_universe"] = with_feed("""
 SELECT n, order_id, customer_id, country, items, amount_cents / 100.0 AS amount, order_date, order_ts,
        arrival_date, ingest_date, bad, dup, corr FROM uni_p""")
