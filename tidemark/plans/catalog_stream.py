@@ -103,29 +103,22 @@ def replay_since(spark, sf_dir):
     return messaging.replay(landing, "publish_time", REPLAY_MARK)
 
 
-def _arrival_files(spark, sf_dir) -> str:
-    """Events re-ordered by arrival (10% arrive two days late), one file per 5 arrival
-    days, written in arrival order so each file is one micro-batch."""
-    ev = _events(spark, sf_dir)
+def _arrivals(spark, sf_dir):
+    """Events by arrival (10% arrive two days late), 5 arrival days a micro-batch: (stream, ``more``)."""
+    ev = spark.read.schema(EVENTS_DDL).parquet("%s/events.parquet" % sf_dir.rstrip("/"))
     late = u01("event_id", "arr") < 0.10
     arr = F.when(late, F.timestamp_add("DAY", F.lit(2), F.col("ts"))).otherwise(F.col("ts"))
     lo = ev.agg(F.min(F.to_date("ts"))).first()[0]
     staged = ev.withColumn("chunk", (F.datediff(F.to_date(arr), F.lit(lo)) / 5).cast("int"))
-    chunks = sorted(r[0] for r in staged.select("chunk").distinct().collect())
-    src = scratch_dir(spark, "arrivals")
-    for c in chunks:   # bounded: one write per 5 days of arrivals
-        (staged.filter(F.col("chunk") == c).drop("chunk").coalesce(1)
-         .write.mode("append").parquet(src))
-    return src
+    return windows.deliver(spark, staged, "chunk", "arrivals")
 
 
 def _panes(spark, sf_dir, accumulating: bool, lateness_seconds: int = 3 * 86400) -> DataFrame:
     ensure_conf(spark)
-    src = _arrival_files(spark, sf_dir)
-    stream = spark.readStream.schema(EVENTS_DDL).option("maxFilesPerTrigger", 1).parquet(src)
+    stream, more = _arrivals(spark, sf_dir)
     q = panes.paned_counts(stream, "event_type", "ts", 86400, 50, lateness_seconds, accumulating)
-    root = windows.run_available(spark, q, "panes")
-    return spark.read.parquet(root + "/out")
+    root = windows.run_available(spark, q, "panes", more=more)
+    return spark.read.schema(panes.OUTPUT_SCHEMA).parquet(root + "/out")
 
 
 def stream_panes_acc(spark, sf_dir):
@@ -143,8 +136,8 @@ def stream_late_dropped(spark, sf_dir):
     """With 6 hours of allowed lateness the two-day-late arrivals are behind the clock of the files
     before theirs: they are kept in a table of their own, not silently dropped."""
     ensure_conf(spark)
-    stream = spark.readStream.schema(EVENTS_DDL).option("maxFilesPerTrigger", 1).parquet(_arrival_files(spark, sf_dir))
-    _, late = messaging.split_late(spark, stream, "ts", "6 hours")
+    stream, more = _arrivals(spark, sf_dir)
+    _, late = messaging.split_late(spark, stream, "ts", "6 hours", more=more)
     return spark.read.parquet(late).drop("batch")
 
 
@@ -222,13 +215,11 @@ def dlq_stream(spark, sf_dir):
     c = Tables(spark, sf_dir).conversations
     m = c.select((F.col("conv_id") * 100 + F.col("turn")).alias("message_id"))
     m = m.withColumn("ok", u01("message_id", "poison") >= 0.05)
-    src = scratch_dir(spark, "deliveries")
-    for first in (1, 3, 5):                     # three files, in the order of delivery
-        part = m.select("message_id", "ok", F.explode(F.array(F.lit(first), F.lit(first + 1))).alias("attempt"))
-        part = part.withColumn("at", F.timestamp_add("MINUTE", F.col("attempt"), F.lit("2026-01-01").cast("timestamp")))
-        part.where((F.col("attempt") == 1) | ~F.col("ok")).coalesce(1).write.mode("append").parquet(src)
-    stream = spark.readStream.schema("message_id bigint, ok boolean, attempt int, at timestamp").option("maxFilesPerTrigger", 1).parquet(src)
-    root = windows.run_available(spark, messaging.retry_stream(stream, "message_id", "ok", 5, ts="at"), "dlq")
+    sent = m.select("message_id", "ok", F.explode(F.when(F.col("ok"), F.array(F.lit(1))).otherwise(
+        F.sequence(F.lit(1), F.lit(6)))).alias("attempt"))
+    sent = sent.withColumn("at", F.timestamp_add("MINUTE", F.col("attempt"), F.lit("2026-01-01").cast("timestamp")))
+    stream, more = windows.deliver(spark, sent.withColumn("step", F.floor((F.col("attempt") - 1) / 2).cast("int")), "step", "deliveries")
+    root = windows.run_available(spark, messaging.retry_stream(stream, "message_id", "ok", 5, ts="at"), "dlq", more=more)
     out = spark.read.schema(messaging.RETRY_OUTPUT).parquet(root + "/out")
     return out.withColumn("message_id", F.col("message_id").cast("bigint"))
 

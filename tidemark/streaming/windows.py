@@ -92,23 +92,48 @@ def interval_seconds(text: str) -> int:
 
 
 def run_available(spark: SparkSession, stream: DataFrame, name: str, output_mode: str = "append",
-                  fmt: str = "parquet", foreach_batch=None, root: str | None = None) -> str:
+                  fmt: str = "parquet", foreach_batch=None, root: str | None = None, more=None) -> str:
     """Run a streaming query over what is available now and stop by itself.
 
     Sink and checkpoint live under the shared checkpoint root, so a restarted job
     resumes from its last committed micro-batch (executors may be lost any time). ``root``
-    is the result of an earlier call, to go on from where that one ended."""
+    is the result of an earlier call, to go on from where that one ended; ``more`` lands further input
+    once this one is processed, and says whether there was any (``deliver``)."""
     root = root or scratch_dir(spark, "stream-" + name)
     w = stream.writeStream.option("checkpointLocation", root + "/_checkpoint").outputMode(output_mode)
     if foreach_batch is not None:
         w = w.foreachBatch(foreach_batch)
     else:
         w = w.format(fmt).option("path", root + "/out")
-    q = w.trigger(availableNow=True).start()
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    return root
+    while True:
+        q = w.trigger(availableNow=True).start()
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+        if more is None or not more():
+            return root
+
+
+def deliver(spark: SparkSession, rows: DataFrame, step: str, name: str):
+    """A table as a stream that comes in steps: (stream, ``more`` for ``run_available``).
+
+    Rows are written once, in parallel, to a folder per value of the integer column ``step``; a step's folder is
+    moved in front of the stream when the one before it is processed, so a step is one micro-batch of any number
+    of files."""
+    root = scratch_dir(spark, name)
+    rows.write.partitionBy(step).parquet(root + "/all")
+    left = sorted(files.list_partition_values(spark, root + "/all", step), key=int)
+    files.make_dir(spark, root + "/in")
+
+    def more() -> bool:
+        if not left:
+            return False
+        value = left.pop(0)
+        files.move(spark, "%s/all/%s=%s" % (root, step, value), "%s/in/%s_%s" % (root, step, value))
+        return True
+
+    more()
+    return spark.readStream.schema(rows.drop(step).schema).parquet(root + "/in/*"), more
 
 
 # Event time of the row that ends a bounded stream: later than any window to be closed.
