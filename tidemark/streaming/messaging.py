@@ -4,7 +4,7 @@ landing and duplicate suppression - batch and streaming alike.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tidemark.sources import files
@@ -162,23 +162,22 @@ def retry_stream(deliveries: DataFrame, msg_id: str, ok: str, max_attempts: int
             self.seen = handle.getValueState("seen", "failed long, done boolean")
 
         def handleInputRows(self, key, rows, timerValues):
-            import pandas as pd
-            failed, done = self.seen.get() if self.seen.exists() else (0, False)
+            known = self.seen.get()                     # None: the first delivery
+            failed, done = known or (0, False)
             status, last = None, 0
-            for pdf in rows:
-                last = max(last, int(pdf["event_ms"].max()))
-                for good in pdf["ok"].tolist():
-                    if not done:
-                        failed += 0 if good else 1
-                        status = "acked" if good else "dead_letter" if failed >= max_attempts else None
-                        done = status is not None
+            for row in rows:
+                last = max(last, row["event_ms"])
+                if not done:
+                    failed += 0 if row["ok"] else 1
+                    status = "acked" if row["ok"] else "dead_letter" if failed >= max_attempts else None
+                    done = status is not None
             self.seen.update((failed, done))
             if mode == "EventTime":
-                for timer in list(self.handle.listTimers()):
+                for timer in list(self.handle.listTimers()) if known else ():
                     self.handle.deleteTimer(timer)
                 self.handle.registerTimer(last + horizon)
             if status:
-                yield pd.DataFrame({"message_id": [key[0]], "attempts": [failed + (status == "acked")], "status": [status]})
+                yield Row(message_id=key[0], attempts=failed + (status == "acked"), status=status)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
             self.seen.clear()
@@ -188,7 +187,8 @@ def retry_stream(deliveries: DataFrame, msg_id: str, ok: str, max_attempts: int
             pass
 
     keyed_state(deliveries.sparkSession)
-    return d.groupBy("message_id").transformWithStateInPandas(Attempts(), RETRY_OUTPUT, "Append", mode)
+    # rows, not pandas: a message has a delivery or two, for which frames would cost more than the work
+    return d.groupBy("message_id").transformWithState(Attempts(), RETRY_OUTPUT, "Append", mode)
 
 
 def resequence_stream(stream: DataFrame, key: str, seq: str, payload: str, first_seq: int = 1, ts: str | None = None,
@@ -249,7 +249,7 @@ def resequence_stream(stream: DataFrame, key: str, seq: str, payload: str, first
     return s.groupBy("key").transformWithStateInPandas(InOrder(), "key string, seq long, payload string", "Append", mode)
 
 
-def split_late(spark, stream: DataFrame, ts: str, lateness: str, name: str = "late") -> tuple[str, str]:
+def split_late(spark, stream: DataFrame, ts: str, lateness: str, name: str = "late", more=None) -> tuple[str, str]:
     """Rows on time and rows that are late, each appended to its own table.
 
     A row is late if its event time is more than ``lateness`` behind the greatest event time of the
@@ -274,5 +274,5 @@ def split_late(spark, stream: DataFrame, ts: str, lateness: str, name: str = "la
         (batch.agg(F.max(ts).alias("greatest")).withColumn("batch", F.lit(batch_id)).coalesce(1)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(clock))
 
-    run_available(spark, stream, name, foreach_batch=write)
+    run_available(spark, stream, name, foreach_batch=write, more=more)
     return root + "/rows/side=on_time", root + "/rows/side=late"
