@@ -282,3 +282,27 @@ def test_no_python_in_the_plan(spark):
 
 def test_free_names():
     assert free_names(["a", "Shard", "shard_in"], ("shard",), "_in") == ["a", "Shard_in_in", "shard_in"]
+
+
+def test_turns_deal_each_fragment_once():
+    """Each turn of op2's first shuffle carries about half of the n-grams, and both carry them all once."""
+    import types
+
+    import numpy as np
+    import pyarrow as pa
+
+    from tidemark.llm import ngram_join
+    rng = random.Random(2)
+    texts = [" ".join(str(rng.randint(0, 9999)) for _ in range(80)) for _ in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array(texts)], ["doc_id", "text"])
+    heavy = types.SimpleNamespace(value=np.zeros(0, np.uint64))
+    keys = list(range(16))
+
+    def rows(*turn):
+        return [r for b in ngram_join._segment(5, heavy, keys, *turn)([batch]) for r in b.to_pylist()]
+    key = lambda r: (r["kind"], r["frag"], r["doc_id"] or 0)                   # noqa: E731
+    whole, parts = rows(), [rows(t, ngram_join.TURNS) for t in range(ngram_join.TURNS)]
+    assert sorted(sum(parts, []), key=key) == sorted(whole, key=key)
+    size = [sum(len(r["data"]) for r in x if r["kind"] == 1) for x in (whole, *parts)]
+    assert len(parts) > 1 and max(size[1:]) < 0.65 * size[0]
+    assert not any(r["kind"] != 1 for r in parts[1])
